@@ -65,7 +65,9 @@ def page_number(url: Column) -> Column:
 
 
 def host(url: Column) -> Column:
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+    """Lower-case host of a URL. Not ``parse_url``, which gives null for URLs with
+    characters that browsers accept, such as a bar or a blank."""
+    return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 def host_allowed(url: Column, domains: list[str]) -> Column:
@@ -74,7 +76,7 @@ def host_allowed(url: Column, domains: list[str]) -> Column:
     test = F.lit(False)
     for d in domains:
         test = test | (h == d.lower()) | h.endswith("." + d.lower())
-    return F.coalesce(test, F.lit(False))
+    return F.coalesce(test, F.lit(False))  # a null URL is not allowed
 
 
 def missing(c: Column) -> Column:

@@ -34,9 +34,9 @@ def seed_from_template(spark: SparkSession, template: str, seed: str | None,
     return seed_urls(spark, [template % (seed or default)])
 
 
-def at_seeds(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+def at_seeds(pages: DataFrame, seeds: DataFrame, on: str = "url") -> DataFrame:
     """The start pages, at depth 0 and without a referrer."""
-    return (pages.join(seeds.select("url"), "url", "left_semi")
+    return (pages.join(seeds.select(on), on, "left_semi")
             .withColumns({"kedalaman": F.lit(0), "url_induk": F.lit(None).cast("string")}))
 
 

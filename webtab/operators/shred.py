@@ -12,17 +12,22 @@ from __future__ import annotations
 
 import html as html_std
 import re
+import sys
 from collections.abc import Iterator
 from html.entities import html5
 from urllib.parse import urljoin
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from webtab.functions.selectors import Marks
 
+# Ship this module's code with the tasks: executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ELEMENT = T.StructType([
     T.StructField("i", T.IntegerType()),        # pre-order position
     T.StructField("last", T.IntegerType()),     # last position inside the element

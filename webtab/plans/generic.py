@@ -32,6 +32,7 @@ BODY = Marks(
     paragraph=Mark("p", inside="article", text="own"),
     link=Mark("a", attrs=("href",), href=True),
 )
+BRIEF = Marks(title=Mark("title", text="own"), link=Mark("a"))
 EVERY_TAG = Marks(
     article=Mark("article"),
     element=Mark(),
@@ -93,3 +94,15 @@ def page_metrics(pages: DataFrame) -> DataFrame:
         "page_id", sc.strip(first_or(BODY.texts("heading"))).alias("judul"),
         sc.count_words_all(BODY.texts("paragraph")).alias("n_words"),
         BODY.count("heading").alias("n_headings"), BODY.count("link").alias("n_links"))
+
+
+def page_items(pages: DataFrame) -> DataFrame:
+    """Title, address and link count of each page, ready for the item stages."""
+    return shred(pages, BRIEF).select(
+        "page_id", first_or(BRIEF.texts("title")).alias("judul"), "url",
+        BRIEF.count("link").alias("n_links"))
+
+
+def page_hrefs(pages: DataFrame) -> DataFrame:
+    """One row per link, as written in the page."""
+    return shred(pages, LINKS).select(F.explode(LINKS.attr("link", "href")).alias("href"))

@@ -35,7 +35,7 @@ def first_per_group(df: DataFrame, key: str, order: Column, n: int) -> DataFrame
 
 
 def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth: int = 3,
-        nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        nodes: DataFrame | None = None, last_offers: bool = False) -> tuple[DataFrame, DataFrame]:
     """Level-synchronous breadth-first walk.
 
     ``edges(src, dst, pos[, probe])``: ``pos`` is any type that orders the links
@@ -49,7 +49,8 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     numbering is needed and the result does not depend on partitioning.
 
     Returns ``nodes(url, depth, referrer, seed_no, path)`` and the offered links
-    ``offers(src, pos, dst)``.
+    ``offers(src, pos, dst)``; those of the deepest pages, which nobody follows,
+    are only worked out with ``last_offers``.
     """
     pos_type = edges.schema["pos"].dataType.simpleString()
     probed = "probe" in edges.columns
@@ -62,10 +63,13 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     level = _existing(level, nodes)
     level = cut(level.dropDuplicates(["url"]), "bfs-level")
     levels, offers = [level], []
-    for depth in range(max_depth + 1):
+    for depth in range(max_depth + 1 if last_offers else max_depth):
         visited = _union([x.select(F.col("url").alias("seen")) for x in levels])
+        # Not written as an anti join: that would be pushed below the frontier join
+        # and test every edge of the graph. Visited addresses are unique.
         links = (level.select("url", "seed_no", "path").join(e, "url")
-                 .join(visited, F.col("probe") == F.col("seen"), "left_anti")
+                 .join(visited, F.col("probe") == F.col("seen"), "left")
+                 .filter(F.col("seen").isNull()).drop("seen")
                  .distinct())                     # copies of a page offer the same links
         if max_links is not None:
             links = first_per_group(links, "url", F.col("pos"), max_links)
@@ -84,7 +88,8 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
         if level.isEmpty():
             break
         levels.append(level)
-    return _union(levels), _union(offers).select(F.col("url").alias("src"), "pos", "dst")
+    followed = _union(offers) if offers else level.join(e, "url").limit(0)
+    return _union(levels), followed.select(F.col("url").alias("src"), "pos", "dst")
 
 
 def _existing(found: DataFrame, nodes: DataFrame | None) -> DataFrame:

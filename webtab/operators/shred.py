@@ -139,6 +139,7 @@ class _Nodes:
 def _walk(page: str, url: str, rules, out: _Nodes) -> str:
     """Append the marked nodes of one page to ``out``; return its base URL."""
     by_tag, any_tag, shown, own_text, first_text, deep_text, kept_attrs, resolved = rules
+    names_of: dict[int, set[str]] = {}
     base = url
     cut_at = url.find("/", url.find("://") + 3) if "://" in url else -1
     root = url[:cut_at] if cut_at > 0 else ""
@@ -245,7 +246,9 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
         if own & shown:
             href = None
             pairs: list[tuple[str, str]] = []
-            names = {n for bit, ns in kept_attrs if own & bit for n in ns}
+            names = names_of.get(own)
+            if names is None:
+                names = names_of[own] = {n for bit, ns in kept_attrs if own & bit for n in ns}
             if names or own & resolved:
                 if attrs is None:
                     attrs = _attributes(raw)

@@ -149,7 +149,8 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
     shown = table.filter(~F.col("skip"))
     edges = shown.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "dst"))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
-    nodes, offers = bfs(edges, seeds, limit, max_depth, nodes=table.select("url"))
+    nodes, offers = bfs(edges, seeds, limit, max_depth, nodes=table.select("url"),
+                        last_offers=True)
     followed = offers.groupBy(F.col("src").alias("url")).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "dst"))), lambda x: x["dst"])
         .alias("link_keluar"))

@@ -123,7 +123,7 @@ def q_books_structure(spark, d):
 
 # ---- encyclopedia -------------------------------------------------------------------
 def _articles(spark, d):
-    return render.article_pages(table(spark, d, "documents"))
+    return render.article_pages(src.spread(table(spark, d, "documents")))
 
 
 def q_page_word_count(spark, d):

@@ -9,9 +9,19 @@ from webtab.functions import scalars as sc
 from webtab.schemas import PAGES
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Split a small scan over all cores before work that is heavy per row.
+
+    A large table has more splits than there are cores and is left as it is, so
+    at scale this adds no shuffle. ``table`` must be a plain scan.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if 2 * table.rdd.getNumPartitions() <= cores else table
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, url, html`` from a parquet table."""
-    return spark.read.parquet(path).select(*PAGES.names)
+    return spread(spark.read.parquet(path).select(*PAGES.names))
 
 
 def stream_pages(spark: SparkSession, folder: str, glob: str = "*.parquet",

@@ -49,8 +49,12 @@ def product_card() -> Column:
 
 def _with_cards(df: DataFrame, *keys: str) -> DataFrame:
     """Join the cards of each page, at most ``PER_PAGE``, in key order."""
+    spark = df.sparkSession
+    # the shuffle the grouping needs anyway, with a number that is not merged down
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                2 * spark.sparkContext.defaultParallelism)
     cards = F.array_sort(F.collect_list(F.struct("p_partkey", product_card().alias("card"))))
-    return df.groupBy(*keys).agg(
+    return df.repartition(parts, *keys).groupBy(*keys).agg(
         F.array_join(F.transform(cards, lambda x: x["card"]), "").alias("cards"))
 
 

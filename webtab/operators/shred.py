@@ -144,6 +144,7 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
     cut_at = url.find("/", url.find("://") + 3) if "://" in url else -1
     root = url[:cut_at] if cut_at > 0 else ""
     tags: list[str] = []                       # the open elements ...
+    opened: dict[str, int] = {}                # ... how many of each tag
     frames: list[tuple] = [(0, 0, -1, None)]   # ... with (own, around and own, position, node)
     firsts: list[list] = []                    # open nodes that still want text
     deeps: list[list] = []
@@ -170,6 +171,8 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
     def close_to(depth: int) -> None:
         if pending:
             flush()
+        for tag in tags[depth:]:
+            opened[tag] -= 1
         del tags[depth:]
         while len(frames) > depth + 1:
             node = frames.pop()[3]
@@ -204,7 +207,7 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
             ended = ended.lower()
             if tags and tags[-1] == ended:
                 close_to(len(tags) - 1)
-            elif ended in tags:
+            elif opened.get(ended):
                 end_open((ended,), _end_wall(ended))
             continue
         if pending:
@@ -214,11 +217,11 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
 
         tag = tag.lower()
         if tag in BLOCK:
-            if "p" in tags:
+            if opened.get("p"):
                 end_open(("p",), CELL_WALL)
             if tag in HEADINGS and tags and tags[-1] in HEADINGS:
                 close_to(len(tags) - 1)
-        if tag in IMPLIED_END:
+        if tag in IMPLIED_END and any(map(opened.get, IMPLIED_END[tag][0])):
             end_open(*IMPLIED_END[tag])
 
         above, around, place, _ = frames[-1]
@@ -259,6 +262,7 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
             add_element(node)
         if tag not in VOID:
             tags.append(tag)
+            opened[tag] = opened.get(tag, 0) + 1
             frames.append((own, around | own, counter, node))
             if node is not None:
                 if own & first_text:

@@ -73,17 +73,19 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def item_counts(items: dict[str, DataFrame]) -> DataFrame:
-    """Items per type and in all.
+    """Items per type and in all; the total is there, as 0, without any item.
 
     Each frame is reduced to its type name before the union, and the total is
-    rolled up from the few per-type counts.
+    made from the few per-type counts.
     """
     names = reduce(DataFrame.unionByName,
                    [df.select(F.lit(t).alias("item_type")) for t, df in items.items()])
     per_type = names.groupBy("item_type").agg(F.count("*").alias("n"))
-    return (per_type.rollup("item_type").agg(F.sum("n").alias("n"))
-            .select(F.coalesce("item_type", F.lit(TOTAL)).alias("item_type"),
-                    F.coalesce("n", F.lit(0)).alias("n")))
+    each_and_all = per_type.select(
+        F.explode(F.array("item_type", F.lit(TOTAL))).alias("item_type"), "n")
+    none_yet = names.sparkSession.range(1).select(
+        F.lit(TOTAL).alias("item_type"), F.lit(0).cast("long").alias("n"))
+    return each_and_all.unionByName(none_yet).groupBy("item_type").agg(F.sum("n").alias("n"))
 
 
 def run_statistics(counts: DataFrame, crawler: str, started, ended) -> DataFrame:

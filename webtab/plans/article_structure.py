@@ -11,7 +11,7 @@ from webtab.operators.graph import bfs, first_items, walk_order
 from webtab.operators.shred import shred
 from webtab.plans.articles import (DEFAULT_SEED, DOMAINS, LINK_PREFIX, LINKS_PER_PAGE, MAX_DEPTH,
                                    SEED_TEMPLATE, heading)
-from webtab.plans.common import first_copies, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import WIKI_STRUCTURE
 from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_from_template
@@ -112,10 +112,11 @@ def is_disambiguation() -> Column:
             | F.contains(opening, F.lit(DISAMBIGUATION)))
 
 
-def extract_structure(pages: DataFrame, strict_namespaces: bool = False) -> DataFrame:
+def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
+                      keep: tuple[str, ...] = KEEP) -> DataFrame:
     """Structure fields of every page; ``links`` are its distinct internal links."""
-    return (shred(pages, WIKI_PAGE).select(
-        "page_id", "url", heading(WIKI_PAGE).alias("judul"),
+    return (shred(pages, WIKI_PAGE, keep).select(
+        *keep, heading(WIKI_PAGE).alias("judul"),
         internal_links(WIKI_PAGE.els("link"), strict_namespaces=strict_namespaces).alias("links"),
         F.size(external_links(WIKI_PAGE.els("link"))).alias("jumlah_link_eksternal"),
         section_titles(WIKI_PAGE.els("section")).alias("judul_section"),
@@ -144,7 +145,7 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
     """
     domains = domains or DOMAINS
     limit = LINKS_PER_PAGE if max_links is None else int(max_links)
-    table = cut(extract_structure(on_hosts(pages, domains), strict_namespaces)
+    table = cut(extract_structure(numbered(on_hosts(pages, domains)), strict_namespaces, KEEP_COPY)
                 .withColumn("skip", skipped(path_of(F.col("url"), domains[0]))), "structure")
     shown = table.filter(~F.col("skip"))
     edges = shown.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "dst"))

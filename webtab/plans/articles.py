@@ -9,7 +9,7 @@ from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import bfs, first_items, walk_order
 from webtab.operators.shred import shred
-from webtab.plans.common import first_copies, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import ARTICLE
 from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_from_template
@@ -82,11 +82,11 @@ def labelled(links: Column, limit: int = RELATED_LINKS) -> Column:
                        lambda x: F.concat(x["text"], F.lit(" ("), x["url"], F.lit(")")))
 
 
-def extract_articles(pages: DataFrame) -> DataFrame:
+def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFrame:
     """Article fields of every page, with its link targets in document order."""
     links = article_links(ARTICLE_PAGE.els("link"))
-    return shred(pages, ARTICLE_PAGE).select(
-        "page_id", "url", heading(ARTICLE_PAGE).alias("judul"),
+    return shred(pages, ARTICLE_PAGE, keep).select(
+        *keep, heading(ARTICLE_PAGE).alias("judul"),
         summary_of(F.transform(ARTICLE_PAGE.els("lead"), lambda p: p["deep"])).alias("ringkasan"),
         sc.strip_all(ARTICLE_PAGE.texts("category")).alias("kategori"),
         sc.count_words_all(ARTICLE_PAGE.texts("paragraph")).alias("jumlah_kata"),
@@ -103,7 +103,7 @@ def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = M
     and links with a fragment each take one of a page's slots.
     """
     wanted = on_hosts(pages, domains or DOMAINS).filter(~skipped(F.col("url")))
-    table = cut(extract_articles(wanted), "articles")
+    table = cut(extract_articles(numbered(wanted), KEEP_COPY), "articles")
     edges = table.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "probe"))
     edges = edges.withColumn("dst", F.substring_index("probe", "#", 1))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)

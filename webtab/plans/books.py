@@ -9,7 +9,7 @@ from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import first_items, follow_chain
 from webtab.operators.shred import shred
-from webtab.plans.common import first_copies, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import BOOK
 from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_urls
@@ -32,9 +32,9 @@ LISTING = Marks(
 )
 
 
-def shred_listings(pages: DataFrame) -> DataFrame:
+def shred_listings(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFrame:
     """One row per page (``frag`` 0) and one per product card (``frag`` 1, 2, ...)."""
-    return shred(pages, LISTING, split="card")
+    return shred(pages, LISTING, keep, split="card")
 
 
 def _link_target(mark: str):
@@ -77,11 +77,11 @@ def crawl_books(pages: DataFrame, start_urls: list[str] | None = None,
     """Records of all listing pages on the next-page chain from the start pages."""
     start_urls, domains = start_urls or START_URLS, domains or DOMAINS
     # one parse; the walk and the records read different columns of the result
-    listings = shred_listings(on_hosts(pages, domains))
+    listings = shred_listings(numbered(on_hosts(pages, domains)), KEEP_COPY)
     link = F.get(F.filter(LISTING.els("next_link"), lambda x: x["attrs"]["href"].isNotNull()),
                  F.lit(0))
     table = cut(listings.select(
-        "page_id", F.col("url").alias("page_url"), "frag", *book_columns(),
+        "page_id", "copy", F.col("url").alias("page_url"), "frag", *book_columns(),
         F.when(link["attrs"]["href"] != "", link["href_abs"]).alias("next_url")), "listings")
     edges = (table.filter((F.col("frag") == 0) & F.col("next_url").isNotNull())
              .select(F.col("page_url").alias("src"), F.col("next_url").alias("dst")))

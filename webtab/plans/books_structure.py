@@ -9,7 +9,7 @@ from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import first_items, follow_chain
 from webtab.operators.shred import shred
-from webtab.plans.common import first_copies, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import BOOK_STRUCTURE
 from webtab.session import cut
 from webtab.sources.pages import on_hosts
@@ -91,11 +91,11 @@ def page_meta() -> Column:
         SHOP_PAGE.count("card").alias("jumlah_artikel_di_halaman"))
 
 
-def extract_pages(pages: DataFrame) -> DataFrame:
+def extract_pages(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFrame:
     """Everything the structure walk needs of each shop page, in one parse."""
-    return (shred(pages, SHOP_PAGE)
-            .select("page_id", "url", book_total().alias("jumlah_buku"), "els", "texts")
-            .select("page_id", "url", "jumlah_buku",
+    return (shred(pages, SHOP_PAGE, keep)
+            .select(*keep, book_total().alias("jumlah_buku"), "els", "texts")
+            .select(*keep, "jumlah_buku",
                     page_total(F.col("jumlah_buku")).alias("jumlah_halaman"),
                     navigation_tags().alias("tag_navigasi"), page_meta().alias("meta_html"),
                     categories().alias("kategori"), next_url().alias("next_url")))
@@ -111,7 +111,7 @@ def crawl_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
     ``depth_limit`` counts those hops (0: no limit).
     """
     start_urls, domains = start_urls or START_URLS, domains or DOMAINS
-    table = cut(extract_pages(on_hosts(pages, domains)), "shop-pages")
+    table = cut(extract_pages(numbered(on_hosts(pages, domains)), KEEP_COPY), "shop-pages")
     home = first_copies(table.filter(F.col("url").isin(start_urls)),
                         table.filter(F.col("url").isin(start_urls)).select("url").distinct(), "url")
 

@@ -12,9 +12,19 @@ def select_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+KEEP = ("page_id", "url")
+KEEP_COPY = ("page_id", "url", "copy")
+
+
+def numbered(pages: DataFrame) -> DataFrame:
+    """Tell exact copies of a page row apart. Only meaningful once written (``cut``)."""
+    return pages.withColumn("copy", F.monotonically_increasing_id())
+
+
 def first_copies(records: DataFrame, walked: DataFrame, key: str) -> DataFrame:
-    """Join walked pages to their records; of several copies of a page the one
-    with the smallest ``page_id`` counts."""
-    copies = (records.select(key, "page_id").join(walked, key)
-              .groupBy(*walked.columns).agg(F.min("page_id").alias("page_id")))
-    return records.join(copies, [key, "page_id"])
+    """Join walked pages to their records (of ``numbered`` pages); of several
+    copies of a page the one with the smallest ``page_id`` counts."""
+    found = records.select(key, "page_id", "copy").join(walked.select(key), key)
+    chosen = (found.groupBy(key).agg(F.min(F.struct("page_id", "copy")).alias("c"))
+              .select(key, "c.copy"))
+    return records.join(chosen, [key, "copy"]).drop("copy").join(walked, key)

@@ -148,9 +148,13 @@ def _compose(step: DataFrame) -> DataFrame:
     return two.join(later, F.col("d2") == F.col("_s"), "left").drop("_s")
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """Distinct out- and in-links of every page, in one pass over the edges."""
-    ends = edges.select("src", "dst").distinct().select(F.explode(F.array(
+def degrees(edges: DataFrame, unique: bool = False) -> DataFrame:
+    """Distinct out- and in-links of every page, in one pass over the edges.
+
+    ``unique`` says that no edge is repeated, which saves a shuffle.
+    """
+    pairs = edges.select("src", "dst")
+    ends = (pairs if unique else pairs.distinct()).select(F.explode(F.array(
         F.struct(F.col("src").alias("url"), F.lit(1).alias("o"), F.lit(0).alias("i")),
         F.struct(F.col("dst").alias("url"), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("e"))
     return ends.groupBy("e.url").agg(F.sum("e.o").alias("out_links"), F.sum("e.i").alias("in_links"))

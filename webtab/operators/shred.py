@@ -377,7 +377,7 @@ def shred(pages: DataFrame, marks: Marks, keep: tuple[str, ...] = ("page_id", "u
     split_bit = marks.bit[split] if split else 0
     split_mask = marks.below(split) if split else 0
     n_keep = len(keep)
-    url_at, html_at = n_keep, n_keep + 1
+    url_at, html_at = (keep.index("url") if "url" in keep else n_keep + 1), n_keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,5 +413,6 @@ def shred(pages: DataFrame, marks: Marks, keep: tuple[str, ...] = ("page_id", "u
                             pa.ListArray.from_arrays(_offsets(t_size), texts)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    source = pages.select(*keep, F.col("url").alias("_url"), F.col("html").alias("_html"))
+    source = pages.select(*keep, F.col("html").alias("_html"),
+                          *([] if "url" in keep else [F.col("url").alias("_url")]))
     return source.mapInArrow(run, schema)

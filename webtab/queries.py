@@ -166,7 +166,8 @@ def q_bfs_limit(spark, d):
 
 
 def q_graph_degrees(spark, d):
-    return graph.degrees(render.supplier_part_links(table(spark, d, "lineitem")))
+    pairs = table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    return graph.degrees(render.supplier_part_links(pairs), unique=True)
 
 
 # ---- scalars and stages ---------------------------------------------------------------

@@ -34,8 +34,12 @@ def stream_pages(spark: SparkSession, folder: str, glob: str = "*.parquet",
 
 
 def seed_urls(spark: SparkSession, urls: list[str]) -> DataFrame:
-    """A fixed list of start pages as ``(url, seed_no)``."""
-    return spark.createDataFrame([(u, k) for k, u in enumerate(urls)], "url string, seed_no int")
+    """A fixed list of start pages as ``(url, seed_no)``.
+
+    Made from literals, so that the planner knows how small it is.
+    """
+    return spark.range(1).select(
+        F.posexplode(F.array(*map(F.lit, urls))).alias("seed_no", "url")).select("url", "seed_no")
 
 
 def seed_from_template(spark: SparkSession, template: str, seed: str | None,

@@ -83,12 +83,15 @@ def wiki(spark):
     return spark.createDataFrame([(k, WIKI + n, h) for k, (n, h) in enumerate(rows)] * 2, PAGES)
 
 
-def test_articles(wiki):
-    df = articles.crawl_articles(wiki, seed="S")
+@pytest.mark.parametrize("whole", [False, True])
+def test_articles(wiki, whole):
+    df = articles.crawl_articles(wiki, seed="S", whole=whole)
     assert df.schema.names == ARTICLE.names
     # S: A#1, A, B, Gone, C take the five slots. A: S#top, B#x, D, E (S and B are visited as such)
     got = {r.url[len(WIKI):]: r.kedalaman for r in df.collect()}
     assert df.count() == len(got) and got == {"S": 0, "A": 1, "B": 1, "C": 1, "D": 2, "E": 2, "G": 3}
+    if whole:
+        return
     small = articles.crawl_articles(wiki, seed="S", max_links=2, max_depth=2)
     # slots of S: A#1 and A; of A: S#top and B#x
     assert {r.url[len(WIKI):]: r.kedalaman for r in small.collect()} == {"S": 0, "A": 1, "B": 2}
@@ -97,8 +100,9 @@ def test_articles(wiki):
     assert articles.crawl_articles(wiki, seed="File:F").count() == 0
 
 
-def test_article_structure(wiki):
-    df = article_structure.crawl_structure(wiki, seed="S", max_links=3)
+@pytest.mark.parametrize("whole", [False, True])
+def test_article_structure(wiki, whole):
+    df = article_structure.crawl_structure(wiki, seed="S", max_links=3, whole=whole)
     assert df.schema.names == WIKI_STRUCTURE.names
     got = {r.url[len(WIKI):]: (r.kedalaman, (r.url_induk or "")[len(WIKI):],
                                [u[len(WIKI):] for u in r.link_keluar], r.jumlah_link_internal) for r in df.collect()}
@@ -107,6 +111,8 @@ def test_article_structure(wiki):
         "S": (0, "", ["A", "File:F", "B"], 5), "A": (1, "S", ["D", "E"], 4), "B": (1, "S", ["E"], 1),
         "D": (2, "A", ["C", "G"], 2), "E": (2, "A", [], 1), "C": (3, "D", [], 0), "G": (3, "D", [], 0)}
     assert all(r.url_induk == r.link_masuk_dari for r in df.collect())
+    if whole:
+        return
     none = article_structure.crawl_structure(wiki, seed="S", max_links=0)
     assert [(r.url[len(WIKI):], r.link_keluar) for r in none.collect()] == [("S", [])]
     strict = article_structure.crawl_structure(wiki, seed="S", max_links=3, strict_namespaces=True)

@@ -79,6 +79,15 @@ def host_allowed(url: Column, domains: list[str]) -> Column:
     return F.coalesce(test, F.lit(False))  # a null URL is not allowed
 
 
+def contains_any(c: Column, words: list[str]) -> Column:
+    """Some word occurs in the text; one pass whatever the number of words."""
+    return c.rlike("|".join(rf"\Q{w}\E" for w in words))
+
+
+def starts_with_any(c: Column, prefixes: list[str]) -> Column:
+    return c.rlike("^(?:" + "|".join(rf"\Q{p}\E" for p in prefixes) + ")")
+
+
 def missing(c: Column) -> Column:
     """Null and the empty string both count as missing."""
     return F.coalesce(c, F.lit("")) == ""

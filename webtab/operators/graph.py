@@ -7,6 +7,7 @@ and shuffles a large one; there are no hard-wired broadcast hints.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from webtab.session import cut
 
+# Most pages a walk may reach for its levels to be broadcast against the page table.
+SMALL_WALK = 10_000
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -36,7 +40,7 @@ def first_per_group(df: DataFrame, key: str, order: Column, n: int) -> DataFrame
 
 def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth: int = 3,
         nodes: DataFrame | None = None, last_offers: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Level-synchronous breadth-first walk.
+    """Level-synchronous breadth-first walk over a table of links.
 
     ``edges(src, dst, pos[, probe])``: ``pos`` is any type that orders the links
     of a page; ``probe`` is the address tested against the visited pages where it
@@ -52,18 +56,64 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     ``offers(src, pos, dst)``; those of the deepest pages, which nobody follows,
     are only worked out with ``last_offers``.
     """
-    pos_type = edges.schema["pos"].dataType.simpleString()
-    probed = "probe" in edges.columns
-    e = edges.select(F.col("src").alias("url"), "dst", "pos",
-                     F.col("probe" if probed else "dst").alias("probe"))
-    level = seeds.select(
+    def visit(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return cut(_existing(found, nodes), "bfs-level"), edges
+
+    return _levels(seeds, visit, edges.schema["pos"].dataType.simpleString(), max_links,
+                   max_depth, last_offers)
+
+
+def bfs_pages(pages: DataFrame, extract: Callable[[DataFrame], DataFrame],
+              links_of: Callable[[DataFrame], DataFrame], seeds: DataFrame,
+              max_links: int | None = 5, max_depth: int = 3, last_offers: bool = False,
+              whole: bool | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same walk over ``pages``, whose links only show once a page is parsed.
+
+    ``extract`` turns pages into records (with ``url``), ``links_of`` records into
+    edges with integer positions. Either all pages are parsed once (``whole``), or
+    each level picks its own pages with a broadcast join and parses only those.
+    The second costs one more scan per level but hardly any parsing; it is chosen
+    when the link cap proves that the walk stays below ``SMALL_WALK`` pages.
+
+    Returns ``nodes``, ``offers`` and the records of the visited pages.
+    """
+    if whole is None:
+        n_seeds = seeds.count()
+        whole = max_links is None or n_seeds * max(max_links, 1) ** max_depth > SMALL_WALK
+    if whole:
+        records = cut(extract(pages), "records")
+        return *bfs(links_of(records), seeds, max_links, max_depth, records, last_offers), records
+    parsed: list[DataFrame] = []
+
+    def visit(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        found = cut(found, "bfs-found")
+        here = pages.join(F.broadcast(found.select("url")), "url", "left_semi")
+        records = cut(extract(here), "records")
+        parsed.append(records)
+        return cut(_existing(found, records), "bfs-level"), links_of(records)
+
+    nodes, offers = _levels(seeds, visit, "int", max_links, max_depth, last_offers)
+    return nodes, offers, _union(parsed)
+
+
+def _levels(seeds: DataFrame, visit: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+            pos_type: str, max_links: int | None, max_depth: int,
+            last_offers: bool) -> tuple[DataFrame, DataFrame]:
+    found = seeds.dropDuplicates(["url"]).select(
         "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("referrer"),
         F.col("seed_no").cast("int").alias("seed_no"),
         F.array().cast(f"array<{pos_type}>").alias("path"))
-    level = _existing(level, nodes)
-    level = cut(level.dropDuplicates(["url"]), "bfs-level")
-    levels, offers = [level], []
-    for depth in range(max_depth + 1 if last_offers else max_depth):
+    levels, offers = [], []
+    for depth in range(max_depth + 1):
+        level, edges = visit(found)
+        if levels and level.isEmpty():
+            break
+        levels.append(level)
+        if depth == max_depth and not last_offers:
+            break
+        probed = "probe" in edges.columns
+        e = edges.select(F.col("src").alias("url"), "dst", "pos",
+                         F.col("probe" if probed else "dst").alias("probe"))
         visited = _union([x.select(F.col("url").alias("seen")) for x in levels])
         # Not written as an anti join: that would be pushed below the frontier join
         # and test every edge of the graph. Visited addresses are unique.
@@ -75,8 +125,6 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
             links = first_per_group(links, "url", F.col("pos"), max_links)
         offer = cut(links, "bfs-offer")
         offers.append(offer)
-        if depth == max_depth:
-            break
         best = F.min(F.struct("seed_no", F.concat("path", F.array("pos")).alias("path"),
                               F.col("url").alias("referrer")))
         found = offer.groupBy(F.col("dst").alias("_dst")).agg(best.alias("m"))
@@ -84,11 +132,7 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
             found = found.join(visited, F.col("_dst") == F.col("seen"), "left_anti")
         found = found.select(F.col("_dst").alias("url"), F.lit(depth + 1).alias("depth"),
                              "m.referrer", "m.seed_no", "m.path")
-        level = cut(_existing(found, nodes), "bfs-level")
-        if level.isEmpty():
-            break
-        levels.append(level)
-    followed = _union(offers) if offers else level.join(e, "url").limit(0)
+    followed = _union(offers) if offers else level.join(edges.withColumnRenamed("src", "url"), "url").limit(0)
     return _union(levels), followed.select(F.col("url").alias("src"), "pos", "dst")
 
 

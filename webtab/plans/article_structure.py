@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
-from webtab.operators.graph import bfs, first_items, walk_order
+from webtab.operators.graph import bfs_pages, first_items, walk_order
 from webtab.operators.shred import shred
 from webtab.plans.articles import (DEFAULT_SEED, DOMAINS, LINK_PREFIX, LINKS_PER_PAGE, MAX_DEPTH,
                                    SEED_TEMPLATE, heading)
 from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import WIKI_STRUCTURE
-from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_from_template
 
 # ---- fixed values ---------------------------------------------------------------
@@ -64,18 +63,13 @@ WIKI_PAGE = Marks(
 
 def skipped(path: Column) -> Column:
     """Paths that start with a non-article prefix."""
-    test = F.lit(False)
-    for prefix in SKIP_PREFIXES:
-        test = test | F.startswith(path, F.lit(prefix))
-    return test
+    return sc.starts_with_any(path, SKIP_PREFIXES)
 
 
 def path_of(url: Column, domain: str = DOMAINS[0]) -> Column:
     """The URL after the site's address, with a leading slash."""
-    marker = F.lit(domain + "/")
-    at = F.instr(url, domain + "/")
-    return F.concat(F.lit("/"), F.when(
-        at > 0, F.substring(url, at + F.length(marker), F.length(url))).otherwise(url))
+    parts = F.split(url, rf"\Q{domain}/\E", 2)
+    return F.concat(F.lit("/"), F.element_at(parts, -1))
 
 
 def internal_links(links: Column, prefix: str = LINK_PREFIX,
@@ -138,20 +132,22 @@ def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
 def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int | None = None,
                     max_depth: int = MAX_DEPTH, item_limit: int = ITEM_LIMIT,
                     domains: list[str] | None = None, template: str = SEED_TEMPLATE,
-                    strict_namespaces: bool = False) -> DataFrame:
+                    strict_namespaces: bool = False, whole: bool | None = None) -> DataFrame:
     """Structure records reached from the seed, with referrer and followed links.
 
     Non-article pages count as visited but give no record and no links.
     """
     domains = domains or DOMAINS
     limit = LINKS_PER_PAGE if max_links is None else int(max_links)
-    table = cut(extract_structure(numbered(on_hosts(pages, domains)), strict_namespaces, KEEP_COPY)
-                .withColumn("skip", skipped(path_of(F.col("url"), domains[0]))), "structure")
-    shown = table.filter(~F.col("skip"))
-    edges = shown.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "dst"))
+    article = ~skipped(path_of(F.col("url"), domains[0]))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
-    nodes, offers = bfs(edges, seeds, limit, max_depth, nodes=table.select("url"),
-                        last_offers=True)
+    nodes, offers, table = bfs_pages(
+        on_hosts(pages, domains),
+        lambda p: extract_structure(numbered(p), strict_namespaces, KEEP_COPY),
+        lambda r: r.filter(article).select(F.col("url").alias("src"),
+                                           F.posexplode("links").alias("pos", "dst")),
+        seeds, limit, max_depth, last_offers=True, whole=whole)
+    shown = table.filter(article)
     followed = offers.groupBy(F.col("src").alias("url")).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "dst"))), lambda x: x["dst"])
         .alias("link_keluar"))

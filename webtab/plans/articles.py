@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
-from webtab.operators.graph import bfs, first_items, walk_order
+from webtab.operators.graph import bfs_pages, first_items, walk_order
 from webtab.operators.shred import shred
 from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
 from webtab.schemas import ARTICLE
-from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_from_template
 
 # ---- fixed values ---------------------------------------------------------------
@@ -45,10 +44,7 @@ ARTICLE_PAGE = Marks(
 
 def skipped(url: Column) -> Column:
     """URLs that contain a token of non-article pages anywhere."""
-    test = F.lit(False)
-    for token in SKIP_TOKENS:
-        test = test | F.contains(url, F.lit(token))
-    return test
+    return sc.contains_any(url, SKIP_TOKENS)
 
 
 def heading(marks: Marks) -> Column:
@@ -96,17 +92,19 @@ def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFram
 
 def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = MAX_DEPTH,
                    max_links: int = LINKS_PER_PAGE, item_limit: int = ITEM_LIMIT,
-                   domains: list[str] | None = None, template: str = SEED_TEMPLATE) -> DataFrame:
+                   domains: list[str] | None = None, template: str = SEED_TEMPLATE,
+                   whole: bool | None = None) -> DataFrame:
     """Article records reached from the seed, with their depth.
 
     Non-article URLs are dropped before they count as visited. Repeated links
     and links with a fragment each take one of a page's slots.
     """
     wanted = on_hosts(pages, domains or DOMAINS).filter(~skipped(F.col("url")))
-    table = cut(extract_articles(numbered(wanted), KEEP_COPY), "articles")
-    edges = table.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "probe"))
-    edges = edges.withColumn("dst", F.substring_index("probe", "#", 1))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
-    nodes, _ = bfs(edges, seeds, max_links, max_depth, nodes=table.select("url"))
+    nodes, _, table = bfs_pages(
+        wanted, lambda p: extract_articles(numbered(p), KEEP_COPY),
+        lambda r: (r.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "probe"))
+                   .withColumn("dst", F.substring_index("probe", "#", 1))),
+        seeds, max_links, max_depth, whole=whole)
     rows = first_copies(table, nodes, "url").withColumn("kedalaman", F.col("depth"))
     return select_schema(first_items(rows, walk_order(), item_limit), ARTICLE)

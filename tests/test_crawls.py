@@ -34,6 +34,9 @@ def shop(spark):
              ("m.html", nxt("t2.html"))]
     pages = [(k, SHOP + u, h) for k, (u, h) in enumerate(rows)]
     pages += [(100 + k, u, h) for k, u, h in pages]                            # copies change nothing
+    pages.append((998, SHOP + "catalogue/page-1.html", card("later") + nxt("page-0.html")))
+    pages.append((996, SHOP + "t6.html", nxt("catalogue/page-9.html")))
+    pages.append((997, SHOP + "t.html", nxt("a.html")))
     pages.append((999, "https://other.example/catalogue/page-1.html", card("foreign")))
     return spark.createDataFrame(pages, PAGES)
 
@@ -80,7 +83,10 @@ def wiki(spark):
             ("B", article("B", w + "E")), ("C", article("C")), ("D", article("D", w + "C", w + "G")),
             ("E", article("", w + "S")), ("G", article("G")), ("File:F", article("F", w + "C")),
             ("Unlinked", article("U"))]
-    return spark.createDataFrame([(k, WIKI + n, h) for k, (n, h) in enumerate(rows)] * 2, PAGES)
+    pages = [(k, WIKI + n, h) for k, (n, h) in enumerate(rows)] * 2
+    # a later, different copy of a page counts neither for its record nor for its links
+    pages += [(50, WIKI + "S", article("Later S", w + "Unlinked")), (51, WIKI + "A", article("Later A", w + "Unlinked"))]
+    return spark.createDataFrame(pages, PAGES)
 
 
 @pytest.mark.parametrize("whole", [False, True])

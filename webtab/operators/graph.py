@@ -56,10 +56,16 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     ``offers(src, pos, dst)``; those of the deepest pages, which nobody follows,
     are only worked out with ``last_offers``.
     """
-    def visit(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return cut(_existing(found, nodes), "bfs-level"), edges
+    probed = "probe" in edges.columns
+    e = edges.select(F.col("src").alias("url"), "dst", "pos",
+                     F.col("probe" if probed else "dst").alias("probe"))
 
-    return _levels(seeds, visit, edges.schema["pos"].dataType.simpleString(), max_links,
+    def visit(found: DataFrame) -> Visit:
+        level = cut(_existing(found, nodes), "bfs-level")
+        # copies of an edge count once
+        return level, level.select("url", "seed_no", "path").join(e, "url").distinct(), level.isEmpty()
+
+    return _levels(seeds, visit, edges.schema["pos"].dataType.simpleString(), probed, max_links,
                    max_depth, last_offers)
 
 
@@ -69,58 +75,61 @@ def bfs_pages(pages: DataFrame, extract: Callable[[DataFrame], DataFrame],
               whole: bool | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The same walk over ``pages``, whose links only show once a page is parsed.
 
-    ``extract`` turns pages into records (with ``url``), ``links_of`` records into
-    edges with integer positions. Either all pages are parsed once (``whole``), or
+    ``extract`` turns pages into records (``url``, ``page_id``, ``copy``, ...),
+    ``links_of`` records into ``(url, page_id, copy, links)`` with the list of
+    ``(dst, probe)`` of each page. Either all pages are parsed once (``whole``), or
     each level picks its own pages with a broadcast join and parses only those.
     The second costs one more scan per level but hardly any parsing; it is chosen
     when the link cap proves that the walk stays below ``SMALL_WALK`` pages.
 
-    Returns ``nodes``, ``offers`` and the records of the visited pages.
+    Returns ``nodes``, ``offers`` and the records of the visited pages. Of several
+    copies of a page only the links of the first one count.
     """
     if whole is None:
         n_seeds = seeds.count()
         whole = max_links is None or n_seeds * max(max_links, 1) ** max_depth > SMALL_WALK
-    if whole:
-        records = cut(extract(pages), "records")
-        return *bfs(links_of(records), seeds, max_links, max_depth, records, last_offers), records
-    parsed: list[DataFrame] = []
-
-    def visit(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = cut(found, "bfs-found")
-        here = pages.join(F.broadcast(found.select("url")), "url", "left_semi")
-        records = cut(extract(here), "records")
-        parsed.append(records)
-        return cut(_existing(found, records), "bfs-level"), links_of(records)
-
-    nodes, offers = _levels(seeds, visit, "int", max_links, max_depth, last_offers)
+    parsed: list[DataFrame] = [cut(extract(pages), "records")] if whole else []
+
+    def visit(found: DataFrame) -> Visit:
+        if not whole:
+            here = pages.join(F.broadcast(found.select("url")), "url", "left_semi")
+            parsed.append(cut(extract(here), "records"))
+        records = parsed[-1]
+        level = cut(_existing(found, records), "bfs-level")
+        first = F.min(F.struct("page_id", "copy", "links")).alias("first")
+        links = (level.select("url", "seed_no", "path").join(links_of(records), "url")
+                 .groupBy("url", "seed_no", "path").agg(first)
+                 .select("url", "seed_no", "path", F.posexplode("first.links").alias("pos", "to"))
+                 .select("url", "seed_no", "path", "to.dst", "pos", "to.probe"))
+        return level, links, level.isEmpty()
+
+    nodes, offers = _levels(seeds, visit, "int", True, max_links, max_depth, last_offers)
     return nodes, offers, _union(parsed)
 
 
-def _levels(seeds: DataFrame, visit: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-            pos_type: str, max_links: int | None, max_depth: int,
-            last_offers: bool) -> tuple[DataFrame, DataFrame]:
+# a level, its links (url, seed_no, path, dst, pos, probe), and whether it is empty
+Visit = tuple[DataFrame, DataFrame, bool]
+
+
+def _levels(seeds: DataFrame, visit: Callable[[DataFrame], Visit], pos_type: str, probed: bool,
+            max_links: int | None, max_depth: int, last_offers: bool) -> tuple[DataFrame, DataFrame]:
     found = seeds.dropDuplicates(["url"]).select(
         "url", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("referrer"),
         F.col("seed_no").cast("int").alias("seed_no"),
         F.array().cast(f"array<{pos_type}>").alias("path"))
     levels, offers = [], []
     for depth in range(max_depth + 1):
-        level, edges = visit(found)
-        if levels and level.isEmpty():
+        level, links, empty = visit(found)
+        if levels and empty:
             break
         levels.append(level)
         if depth == max_depth and not last_offers:
             break
-        probed = "probe" in edges.columns
-        e = edges.select(F.col("src").alias("url"), "dst", "pos",
-                         F.col("probe" if probed else "dst").alias("probe"))
         visited = _union([x.select(F.col("url").alias("seen")) for x in levels])
         # Not written as an anti join: that would be pushed below the frontier join
         # and test every edge of the graph. Visited addresses are unique.
-        links = (level.select("url", "seed_no", "path").join(e, "url")
-                 .join(visited, F.col("probe") == F.col("seen"), "left")
-                 .filter(F.col("seen").isNull()).drop("seen")
-                 .distinct())                     # copies of a page offer the same links
+        links = (links.join(visited, F.col("probe") == F.col("seen"), "left")
+                 .filter(F.col("seen").isNull()).drop("seen"))
         if max_links is not None:
             links = first_per_group(links, "url", F.col("pos"), max_links)
         offer = cut(links, "bfs-offer")
@@ -132,7 +141,7 @@ def _levels(seeds: DataFrame, visit: Callable[[DataFrame], tuple[DataFrame, Data
             found = found.join(visited, F.col("_dst") == F.col("seen"), "left_anti")
         found = found.select(F.col("_dst").alias("url"), F.lit(depth + 1).alias("depth"),
                              "m.referrer", "m.seed_no", "m.path")
-    followed = _union(offers) if offers else level.join(edges.withColumnRenamed("src", "url"), "url").limit(0)
+    followed = _union(offers) if offers else links.limit(0)
     return _union(levels), followed.select(F.col("url").alias("src"), "pos", "dst")
 
 
@@ -155,11 +164,14 @@ def first_items(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
 def follow_chain(edges: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Follow the one next-link of each page until it ends or repeats.
 
-    ``edges(src, dst)``, ``seeds(seed, url)`` -> ``(seed, url, hop)``. Each round
+    ``edges(src, dst[, page_id])``, ``seeds(seed, url)`` -> ``(seed, url, hop)``. Of
+    several links of one page that of the smallest ``page_id`` counts (a null
+    ``dst`` says that the page has none). Each round
     composes the step table with itself (1, 4, 16, ... hops), so a chain of n
     pages takes about log4(n) rounds rather than n joins.
     """
-    step = edges.groupBy("src").agg(F.min("dst").alias("d1"))
+    first = F.min(F.struct("page_id", "dst"))["dst"] if "page_id" in edges.columns else F.min("dst")
+    step = edges.groupBy("src").agg(first.alias("d1")).filter(F.col("d1").isNotNull())
     reached = [cut(seeds.select("seed", "url", F.lit(0).alias("hop")).distinct(), "chain-part")]
     span = 1
     while max_hops is None or span <= max_hops:

@@ -144,8 +144,8 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
     nodes, offers, table = bfs_pages(
         on_hosts(pages, domains),
         lambda p: extract_structure(numbered(p), strict_namespaces, KEEP_COPY),
-        lambda r: r.filter(article).select(F.col("url").alias("src"),
-                                           F.posexplode("links").alias("pos", "dst")),
+        lambda r: r.filter(article).select("url", "page_id", "copy", F.transform(
+            "links", lambda a: F.struct(a.alias("dst"), a.alias("probe"))).alias("links")),
         seeds, limit, max_depth, last_offers=True, whole=whole)
     shown = table.filter(article)
     followed = offers.groupBy(F.col("src").alias("url")).agg(F.transform(

@@ -103,8 +103,8 @@ def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = M
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
     nodes, _, table = bfs_pages(
         wanted, lambda p: extract_articles(numbered(p), KEEP_COPY),
-        lambda r: (r.select(F.col("url").alias("src"), F.posexplode("links").alias("pos", "probe"))
-                   .withColumn("dst", F.substring_index("probe", "#", 1))),
+        lambda r: r.select("url", "page_id", "copy", F.transform("links", lambda a: F.struct(
+            F.substring_index(a, "#", 1).alias("dst"), a.alias("probe"))).alias("links")),
         seeds, max_links, max_depth, whole=whole)
     rows = first_copies(table, nodes, "url").withColumn("kedalaman", F.col("depth"))
     return select_schema(first_items(rows, walk_order(), item_limit), ARTICLE)

@@ -83,8 +83,8 @@ def crawl_books(pages: DataFrame, start_urls: list[str] | None = None,
     table = cut(listings.select(
         "page_id", "copy", F.col("url").alias("page_url"), "frag", *book_columns(),
         F.when(link["attrs"]["href"] != "", link["href_abs"]).alias("next_url")), "listings")
-    edges = (table.filter((F.col("frag") == 0) & F.col("next_url").isNotNull())
-             .select(F.col("page_url").alias("src"), F.col("next_url").alias("dst")))
+    edges = (table.filter(F.col("frag") == 0)
+             .select(F.col("page_url").alias("src"), F.col("next_url").alias("dst"), "page_id"))
     seeds = seed_urls(pages.sparkSession, start_urls).select(
         F.lit(0).alias("seed"), "url")
     chain = (follow_chain(edges, seeds).groupBy(F.col("url").alias("page_url"))

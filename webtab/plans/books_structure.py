@@ -121,8 +121,8 @@ def crawl_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
                  .groupBy(F.col("k.url").alias("seed"))
                  .agg(F.min(F.struct("pos", F.col("k.nama").alias("nama"), "home_url")).alias("first"))
                  .select("seed", "first.*"), "shop-categories")
-    edges = (table.filter(F.col("next_url").isNotNull() & ~F.col("next_url").isin(start_urls))
-             .select(F.col("url").alias("src"), F.col("next_url").alias("dst")))
+    edges = table.select(F.col("url").alias("src"), "page_id", F.when(
+        ~F.col("next_url").isin(start_urls), F.col("next_url")).alias("dst"))
     reached = follow_chain(edges, chains.select("seed", F.col("seed").alias("url")),
                            depth_limit - 1 if depth_limit else None)
     owner = (reached.join(chains, "seed")

@@ -106,11 +106,10 @@ def is_disambiguation() -> Column:
             | F.contains(opening, F.lit(DISAMBIGUATION)))
 
 
-def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
-                      keep: tuple[str, ...] = KEEP) -> DataFrame:
-    """Structure fields of every page; ``links`` are its distinct internal links."""
-    return (shred(pages, WIKI_PAGE, keep).select(
-        *keep, heading(WIKI_PAGE).alias("judul"),
+def structure_columns(strict_namespaces: bool = False) -> list[Column]:
+    """Structure fields; ``links`` are the distinct internal links."""
+    return [
+        heading(WIKI_PAGE).alias("judul"),
         internal_links(WIKI_PAGE.els("link"), strict_namespaces=strict_namespaces).alias("links"),
         F.size(external_links(WIKI_PAGE.els("link"))).alias("jumlah_link_eksternal"),
         section_titles(WIKI_PAGE.els("section")).alias("judul_section"),
@@ -122,11 +121,19 @@ def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
         F.array_distinct(non_blank(sc.strip_all(WIKI_PAGE.texts("portal", "navbox_link"))))
         .alias("portal"),
         is_disambiguation().alias("ada_disambiguasi"),
-        page_meta(WIKI_PAGE).alias("meta_html"))
-        .withColumns({
-            "jumlah_link_internal": F.size("links"),
-            "jumlah_section": F.size("judul_section"),
-            "jumlah_kategori": F.size("kategori")}))
+        page_meta(WIKI_PAGE).alias("meta_html")]
+
+
+def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
+                      keep: tuple[str, ...] = KEEP,
+                      columns: list[Column] | None = None) -> DataFrame:
+    """Structure fields of every page."""
+    return (shred(pages, WIKI_PAGE, keep)
+            .select(*keep, *(columns or structure_columns(strict_namespaces)))
+            .withColumns({
+                "jumlah_link_internal": F.size("links"),
+                "jumlah_section": F.size("judul_section"),
+                "jumlah_kategori": F.size("kategori")}))
 
 
 def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int | None = None,
@@ -141,9 +148,10 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
     limit = LINKS_PER_PAGE if max_links is None else int(max_links)
     article = ~skipped(path_of(F.col("url"), domains[0]))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
+    columns = structure_columns(strict_namespaces)
     nodes, offers, table = bfs_pages(
         on_hosts(pages, domains),
-        lambda p: extract_structure(numbered(p), strict_namespaces, KEEP_COPY),
+        lambda p: extract_structure(numbered(p), strict_namespaces, KEEP_COPY, columns),
         lambda r: r.filter(article).select("url", "page_id", "copy", F.transform(
             "links", lambda a: F.struct(a.alias("dst"), a.alias("probe"))).alias("links")),
         seeds, limit, max_depth, last_offers=True, whole=whole)

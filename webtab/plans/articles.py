@@ -78,16 +78,22 @@ def labelled(links: Column, limit: int = RELATED_LINKS) -> Column:
                        lambda x: F.concat(x["text"], F.lit(" ("), x["url"], F.lit(")")))
 
 
-def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFrame:
-    """Article fields of every page, with its link targets in document order."""
+def article_columns() -> list[Column]:
+    """Article fields, and the link targets in document order."""
     links = article_links(ARTICLE_PAGE.els("link"))
-    return shred(pages, ARTICLE_PAGE, keep).select(
-        *keep, heading(ARTICLE_PAGE).alias("judul"),
+    return [
+        heading(ARTICLE_PAGE).alias("judul"),
         summary_of(F.transform(ARTICLE_PAGE.els("lead"), lambda p: p["deep"])).alias("ringkasan"),
         sc.strip_all(ARTICLE_PAGE.texts("category")).alias("kategori"),
         sc.count_words_all(ARTICLE_PAGE.texts("paragraph")).alias("jumlah_kata"),
         labelled(links).alias("link_terkait"),
-        F.transform(links, lambda a: a["href_abs"]).alias("links"))
+        F.transform(links, lambda a: a["href_abs"]).alias("links")]
+
+
+def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP,
+                     columns: list[Column] | None = None) -> DataFrame:
+    """Article fields of every page."""
+    return shred(pages, ARTICLE_PAGE, keep).select(*keep, *(columns or article_columns()))
 
 
 def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = MAX_DEPTH,
@@ -101,8 +107,9 @@ def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = M
     """
     wanted = on_hosts(pages, domains or DOMAINS).filter(~skipped(F.col("url")))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
+    columns = article_columns()
     nodes, _, table = bfs_pages(
-        wanted, lambda p: extract_articles(numbered(p), KEEP_COPY),
+        wanted, lambda p: extract_articles(numbered(p), KEEP_COPY, columns),
         lambda r: r.select("url", "page_id", "copy", F.transform("links", lambda a: F.struct(
             F.substring_index(a, "#", 1).alias("dst"), a.alias("probe"))).alias("links")),
         seeds, max_links, max_depth, whole=whole)

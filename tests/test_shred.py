@@ -144,6 +144,7 @@ def test_long_runs_stay_linear():
     start = time.time()
     for html in ("<" * 200_000, "<a " * 100_000, "<a b='" * 50_000, "<!--" * 100_000, "<p>" * 60_000,
                  "&" * 500_000, "<a " + "x" * 500_000, "<script>" * 50_000, "</p>" * 60_000, "<div>" * 60_000,
-                 "<div>" * 30_000 + "</p>" * 30_000):
+                 "<div>" * 30_000 + "</p>" * 30_000, "<b><div>" + "<i>" * 60_000 + "</b>" * 60_000,
+                 "<p><td>" + "<div>" * 60_000, "<p><td>" + "<i>" * 60_000 + "<div></div>" * 60_000):
         walk(html, Marks(p=Mark("p"), c=Mark(cls="k")))
     assert time.time() - start < 20

@@ -12,14 +12,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from webtab.operators.stages import clean, valid_items
+from webtab.operators.stages import Stage
 from webtab.plans.article_structure import crawl_structure
 from webtab.plans.articles import crawl_articles
 from webtab.plans.books import crawl_books
 from webtab.plans.books_structure import crawl_books_structure
-from webtab.session import build_session, cut
+from webtab.session import build_session, exists, scratch_run
 from webtab.sources.pages import read_pages
-from webtab.sources.sinks import RunOutput, run_crawl, write_items
+from webtab.sources.sinks import RunOutput, run_crawl
 
 # crawler name -> (plan, item type, whole-number arguments, text arguments)
 CRAWLERS: dict[str, tuple[Callable[..., DataFrame], str, set[str], set[str]]] = {
@@ -29,29 +29,40 @@ CRAWLERS: dict[str, tuple[Callable[..., DataFrame], str, set[str], set[str]]] =
     "wikipedia": (crawl_articles, "ArticleItem",
                   {"item_limit", "max_depth", "max_links"}, {"seed"}),
     "wiki_structure": (crawl_structure, "WikiStructureItem",
-                       {"item_limit", "max_depth", "max_links"}, {"seed"}),
+                       {"item_limit", "max_depth", "max_links", "strict_namespaces"}, {"seed"}),
 }
 
 
+def register(crawler: str, plan: Callable[..., DataFrame], item_type: str,
+             numbers: tuple[str, ...] = (), texts: tuple[str, ...] = ()) -> None:
+    """Add a crawl of one's own: ``plan(pages, **arguments)`` gives items of ``item_type``."""
+    CRAWLERS[crawler] = plan, item_type, {"item_limit", *numbers}, set(texts)
+
+
 def crawl(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFrame, str]:
-    """Items of a named crawl and their type; arguments may be text."""
+    """Items of a named crawl and their type; arguments may be text, an empty one means the default."""
     plan, item_type, numbers, texts = CRAWLERS[crawler]
     unknown = set(arguments) - numbers - texts
     if unknown:
         raise ValueError(f"{crawler} takes no {', '.join(sorted(unknown))}")
-    return plan(pages, **{k: int(v) if k in numbers else v for k, v in arguments.items()}), item_type
+    given = {k: v for k, v in arguments.items() if v != ""}
+    return plan(pages, **{k: int(v) if k in numbers else v for k, v in given.items()}), item_type
 
 
 def run_job(spark: SparkSession, crawler: str, pages_path: str, folder: str,
-            export: str | None = None, started: datetime | None = None,
-            **arguments: str | int) -> RunOutput:
-    """One crawl with its timestamped files, and the export the user named."""
-    started = started or datetime.now()
-    items, item_type = crawl(crawler, read_pages(spark, pages_path), **arguments)
-    if export:
-        items = cut(items, "export")
-        write_items(valid_items(clean(items), item_type), export.rsplit(".", 1)[-1], export)
-    return run_crawl(items, item_type, crawler, folder, started)
+            export: str | None = None, started: datetime | None = None, mode: str = "append",
+            stages: dict[int, Stage] | None = None, **arguments: str | int) -> RunOutput:
+    """One crawl with its timestamped files, and the export the user named.
+
+    A repeated run adds to the export (``mode``: append, overwrite or
+    errorifexists, which is checked before the crawl). Intermediate tables are
+    removed at the end.
+    """
+    if export and mode == "errorifexists" and exists(spark, export):
+        raise FileExistsError(export)
+    with scratch_run(spark):
+        items, item_type = crawl(crawler, read_pages(spark, pages_path), **arguments)
+        return run_crawl(items, item_type, crawler, folder, started, stages, export, mode)
 
 
 def main(argv: list[str] | None = None) -> RunOutput:
@@ -60,13 +71,16 @@ def main(argv: list[str] | None = None) -> RunOutput:
     parser.add_argument("--pages", required=True, help="parquet table of page_id, url, html")
     parser.add_argument("--out", default="output", help="folder of the timestamped files")
     parser.add_argument("-o", dest="export", help="extra export; the ending names the format")
+    parser.add_argument("--mode", default="append", choices=["append", "overwrite", "errorifexists"],
+                        help="what to do if the export is there already")
     parser.add_argument("-a", dest="arguments", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--limit", type=int, help="stop after this many items, 0 for no limit")
     args = parser.parse_args(argv)
     named = dict(a.split("=", 1) for a in args.arguments)
     if args.limit is not None:
         named["item_limit"] = str(args.limit)
-    return run_job(build_session(args.crawler), args.crawler, args.pages, args.out, args.export, **named)
+    return run_job(build_session(args.crawler), args.crawler, args.pages, args.out, args.export,
+                   mode=args.mode, **named)
 
 
 if __name__ == "__main__":

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from webtab.session import cut
 
-# Most pages a walk may reach for its levels to be broadcast against the page table.
-SMALL_WALK = 10_000
-
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -71,40 +68,36 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
 
 def bfs_pages(pages: DataFrame, extract: Callable[[DataFrame], DataFrame],
               links_of: Callable[[DataFrame], DataFrame], seeds: DataFrame,
-              max_links: int | None = 5, max_depth: int = 3, last_offers: bool = False,
-              whole: bool | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+              max_links: int | None = 5, max_depth: int = 3,
+              last_offers: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The same walk over ``pages``, whose links only show once a page is parsed.
 
     ``extract`` turns pages into records (``url``, ``page_id``, ``copy``, ...),
     ``links_of`` records into ``(url, page_id, copy, links)`` with the list of
-    ``(dst, probe)`` of each page. Either all pages are parsed once (``whole``), or
-    each level picks its own pages with a broadcast join and parses only those.
-    The second costs one more scan per level but hardly any parsing; it is chosen
-    when the link cap proves that the walk stays below ``SMALL_WALK`` pages.
+    ``(dst, probe)`` of each page, null for pages that only count as visited. All
+    pages are parsed once to this narrow table, written by ``url``; the walk runs on
+    it, and one last scan fetches the records of the visited pages. So the page
+    table is read twice, whatever the depth, the fan-out and the size.
 
     Returns ``nodes``, ``offers`` and the records of the visited pages. Of several
     copies of a page only the links of the first one count.
     """
-    if whole is None:
-        n_seeds = seeds.count()
-        whole = max_links is None or n_seeds * max(max_links, 1) ** max_depth > SMALL_WALK
-    parsed: list[DataFrame] = [cut(extract(pages), "records")] if whole else []
+    parsed = cut(links_of(extract(pages)).select("url", "page_id", "copy", "links"), "page-links")
+    # the copy is chosen without its links
+    chosen = (parsed.groupBy("url").agg(F.min(F.struct("page_id", "copy")).alias("c"))
+              .select("url", "c.copy"))
+    table = cut(parsed.join(chosen, ["url", "copy"]).select("url", "links").repartition("url"), "walk-links")
 
     def visit(found: DataFrame) -> Visit:
-        if not whole:
-            here = pages.join(F.broadcast(found.select("url")), "url", "left_semi")
-            parsed.append(cut(extract(here), "records"))
-        records = parsed[-1]
-        level = cut(_existing(found, records), "bfs-level")
-        first = F.min(F.struct("page_id", "copy", "links")).alias("first")
-        links = (level.select("url", "seed_no", "path").join(links_of(records), "url")
-                 .groupBy("url", "seed_no", "path").agg(first)
-                 .select("url", "seed_no", "path", F.posexplode("first.links").alias("pos", "to"))
+        level = cut(_existing(found, table), "bfs-level")
+        links = (level.select("url", "seed_no", "path").join(table, "url")
+                 .select("url", "seed_no", "path", F.posexplode("links").alias("pos", "to"))
                  .select("url", "seed_no", "path", "to.dst", "pos", "to.probe"))
         return level, links, level.isEmpty()
 
     nodes, offers = _levels(seeds, visit, "int", True, max_links, max_depth, last_offers)
-    return nodes, offers, _union(parsed)
+    visited = cut(nodes.select("url"), "visited")
+    return nodes, offers, cut(extract(pages.join(visited, "url", "left_semi")), "records")
 
 
 # a level, its links (url, seed_no, path, dst, pos, probe), and whether it is empty

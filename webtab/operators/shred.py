@@ -56,6 +56,7 @@ NODE_COLUMNS = T.StructType([
 
 # Input bytes after which a batch of results goes back to the JVM.
 FLUSH_CHARS = 8 * 1024 * 1024
+FLUSH_NODES = 500_000
 
 # ---- fixed values: content model of HTML -------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -144,7 +145,7 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
     cut_at = url.find("/", url.find("://") + 3) if "://" in url else -1
     root = url[:cut_at] if cut_at > 0 else ""
     tags: list[str] = []                       # the open elements ...
-    opened: dict[str, int] = {}                # ... how many of each tag
+    opened: dict[str, list[int]] = {}          # ... the depths at which each tag is open
     frames: list[tuple] = [(0, 0, -1, None)]   # ... with (own, around and own, position, node)
     firsts: list[list] = []                    # open nodes that still want text
     deeps: list[list] = []
@@ -172,7 +173,7 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
         if pending:
             flush()
         for tag in tags[depth:]:
-            opened[tag] -= 1
+            opened[tag].pop()
         del tags[depth:]
         while len(frames) > depth + 1:
             node = frames.pop()[3]
@@ -183,13 +184,13 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
                 if deeps and deeps[-1] is node:
                     deeps.pop()
 
+    def top_of(names) -> int:
+        return max((opened[t][-1] for t in names if opened.get(t)), default=-1)
+
     def end_open(targets, wall) -> None:
-        for k in range(len(tags) - 1, -1, -1):
-            if tags[k] in targets:
-                close_to(k)
-                return
-            if tags[k] in wall:
-                return
+        depth = top_of(targets)
+        if depth >= 0 and depth >= top_of(wall):
+            close_to(depth)
 
     while True:
         m = search(page, pos)
@@ -261,8 +262,8 @@ def _walk(page: str, url: str, rules, out: _Nodes) -> str:
             node = [counter, counter, place, tag, own, around, pairs, href, None, []]
             add_element(node)
         if tag not in VOID:
+            opened.setdefault(tag, []).append(len(tags))
             tags.append(tag)
-            opened[tag] = opened.get(tag, 0) + 1
             frames.append((own, around | own, counter, node))
             if node is not None:
                 if own & first_text:
@@ -388,7 +389,7 @@ def shred(pages: DataFrame, marks: Marks, keep: tuple[str, ...] = ("page_id", "u
                 source, frags, bases = [], [], []
                 e_pick, t_pick, e_size, t_size = [], [], [], []
                 chars = 0
-                while row < batch.num_rows and chars < FLUSH_CHARS:
+                while row < batch.num_rows and chars < FLUSH_CHARS and len(e_pick) + len(t_pick) < FLUSH_NODES:
                     page = pages_in[row].as_py() or ""
                     chars += len(page)
                     e0, t0 = len(nodes.els), len(nodes.texts)

@@ -43,7 +43,7 @@ def listing(page: str) -> str:
 
 
 # ---- breadth-first walk --------------------------------------------------------------
-def walk(edges: str, seed: str, nodes: str | None, cap: int = 5, depth: int = 3) -> str:
+def walk(edges: str, seed: str, nodes: str | None, cap: int | None = 5, depth: int = 3) -> str:
     """CTEs ``visited(url, depth, referrer, ord)`` and ``offers(src, dst, pos)``."""
     known = f" AND dst IN (SELECT url FROM ({nodes}))" if nodes else ""
     parts = [f"e AS MATERIALIZED ({edges})",
@@ -54,7 +54,7 @@ def walk(edges: str, seed: str, nodes: str | None, cap: int = 5, depth: int = 3)
         parts.append(
             f"c{d} AS MATERIALIZED (SELECT * FROM (SELECT f.ord AS ford, f.url AS src, e.dst, e.pos, "
             f"row_number() OVER (PARTITION BY f.url ORDER BY e.pos) AS k FROM v{d} f JOIN e ON e.src = f.url "
-            f"WHERE e.probe NOT IN (SELECT url FROM seen{d})) WHERE k <= {cap})")
+            f"WHERE e.probe NOT IN (SELECT url FROM seen{d}))" + (f" WHERE k <= {cap})" if cap else ")"))
         if d < depth:
             parts.append(
                 f"g{d} AS (SELECT dst, min(struct_pack(o := ford, p := pos)) AS m, "
@@ -237,7 +237,7 @@ SELECT CASE WHEN i = 1 THEN 'kategori' ELSE 'listing' END AS tipe,
     p_type || ' | Shop' AS title, 'All of ' || p_type AS meta_description,
     'Home > Books > ' || p_type AS breadcrumb,
     CAST(CASE WHEN i < np THEN 20 ELSE n - 20 * (np - 1) END AS INTEGER) AS jumlah_artikel_di_halaman
-FROM t WHERE i <= 5
+FROM t
 UNION ALL
 SELECT 'home', 'Home', '{SHOP}/index.html', NULL, 0, CAST(sum(n) AS INTEGER),
     CAST(ceil(sum(n) / 20.0) AS INTEGER), 1, 'sidebar_kategori:' || (count(*) + 1) || ' item | header:ada',
@@ -245,17 +245,18 @@ SELECT 'home', 'Home', '{SHOP}/index.html', NULL, 0, CAST(sum(n) AS INTEGER),
     "q_articles_extract": f"SELECT doc_id AS page_id, {ARTICLE_FIELDS} FROM documents",
     "q_articles_crawl": f"""
 WITH {walk(CONTENT_EDGES, f"'{SEED}'", DOC_NODES)}, a AS (SELECT {ARTICLE_FIELDS} FROM documents)
-SELECT a.*, CAST(v.depth AS INTEGER) AS kedalaman FROM a JOIN visited v ON v.url = a.url
-ORDER BY v.depth, v.ord LIMIT 50""",
+SELECT a.*, CAST(v.depth AS INTEGER) AS kedalaman FROM a JOIN visited v ON v.url = a.url""",
     "q_wiki_structure": f"SELECT doc_id AS page_id, {STRUCTURE_FIELDS} FROM documents",
     "q_wiki_structure_crawl": f"""
 WITH {walk(STRUCTURE_EDGES, f"'{SEED}'", DOC_NODES)}, a AS (SELECT {STRUCTURE_FIELDS} FROM documents),
 o AS (SELECT src, string_agg(dst, ' | ' ORDER BY pos) AS link_keluar FROM offers GROUP BY src)
 SELECT a.*, CAST(v.depth AS INTEGER) AS kedalaman, v.referrer AS url_induk, v.referrer AS link_masuk_dari,
     coalesce(o.link_keluar, '') AS link_keluar
-FROM a JOIN visited v ON v.url = a.url LEFT JOIN o ON o.src = a.url ORDER BY v.depth, v.ord LIMIT 60""",
+FROM a JOIN visited v ON v.url = a.url LEFT JOIN o ON o.src = a.url""",
     "q_bfs_nodes": f"""
 WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth, referrer FROM visited""",
+    "q_bfs_full": f"""
+WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM visited""",
     "q_bfs_limit": f"""
 WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth FROM visited ORDER BY visited.depth, ord LIMIT 20""",
     "q_graph_degrees": f"""

@@ -139,7 +139,7 @@ def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
 def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int | None = None,
                     max_depth: int = MAX_DEPTH, item_limit: int = ITEM_LIMIT,
                     domains: list[str] | None = None, template: str = SEED_TEMPLATE,
-                    strict_namespaces: bool = False, whole: bool | None = None) -> DataFrame:
+                    strict_namespaces: bool = False) -> DataFrame:
     """Structure records reached from the seed, with referrer and followed links.
 
     Non-article pages count as visited but give no record and no links.
@@ -148,13 +148,14 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
     limit = LINKS_PER_PAGE if max_links is None else int(max_links)
     article = ~skipped(path_of(F.col("url"), domains[0]))
     seeds = seed_from_template(pages.sparkSession, template, seed, DEFAULT_SEED)
+    strict_namespaces = bool(strict_namespaces)
     columns = structure_columns(strict_namespaces)
     nodes, offers, table = bfs_pages(
         on_hosts(pages, domains),
         lambda p: extract_structure(numbered(p), strict_namespaces, KEEP_COPY, columns),
-        lambda r: r.filter(article).select("url", "page_id", "copy", F.transform(
-            "links", lambda a: F.struct(a.alias("dst"), a.alias("probe"))).alias("links")),
-        seeds, limit, max_depth, last_offers=True, whole=whole)
+        lambda r: r.select("url", "page_id", "copy", F.when(article, F.transform(
+            "links", lambda a: F.struct(a.alias("dst"), a.alias("probe")))).alias("links")),
+        seeds, limit, max_depth, last_offers=True)
     shown = table.filter(article)
     followed = offers.groupBy(F.col("src").alias("url")).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "dst"))), lambda x: x["dst"])

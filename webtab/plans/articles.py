@@ -98,8 +98,7 @@ def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP,
 
 def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = MAX_DEPTH,
                    max_links: int = LINKS_PER_PAGE, item_limit: int = ITEM_LIMIT,
-                   domains: list[str] | None = None, template: str = SEED_TEMPLATE,
-                   whole: bool | None = None) -> DataFrame:
+                   domains: list[str] | None = None, template: str = SEED_TEMPLATE) -> DataFrame:
     """Article records reached from the seed, with their depth.
 
     Non-article URLs are dropped before they count as visited. Repeated links
@@ -112,6 +111,6 @@ def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = M
         wanted, lambda p: extract_articles(numbered(p), KEEP_COPY, columns),
         lambda r: r.select("url", "page_id", "copy", F.transform("links", lambda a: F.struct(
             F.substring_index(a, "#", 1).alias("dst"), a.alias("probe"))).alias("links")),
-        seeds, max_links, max_depth, whole=whole)
+        seeds, max_links, max_depth)
     rows = first_copies(table, nodes, "url").withColumn("kedalaman", F.col("depth"))
     return select_schema(first_items(rows, walk_order(), item_limit), ARTICLE)

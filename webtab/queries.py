@@ -57,8 +57,8 @@ def q_page_allowed_host(spark, d):
             .select("page_id", "url", sc.host(F.col("url")).alias("host")))
 
 
-NAMESPACES = ["Special:", "User:", "Talk:", "File:", "Wikipedia:", "Help:", "Template:", "Portal:",
-              "Category:", "MediaWiki:", "Module:", ""]
+# one of these for each remainder of doc_id by 12
+NAMESPACES = [p.removeprefix("/wiki/") for p in article_structure.SKIP_PREFIXES] + [""]
 
 
 def _article_urls(spark, d):
@@ -118,7 +118,7 @@ def q_books_categories(spark, d):
 
 
 def q_books_structure(spark, d):
-    return plain(books_structure.crawl_books_structure(_categories(spark, d)))
+    return plain(books_structure.crawl_books_structure(_categories(spark, d), depth_limit=0))
 
 
 # ---- encyclopedia -------------------------------------------------------------------
@@ -139,7 +139,7 @@ def q_articles_extract(spark, d):
 
 
 def q_articles_crawl(spark, d):
-    return plain(articles.crawl_articles(_articles(spark, d), seed=SEED))
+    return plain(articles.crawl_articles(_articles(spark, d), seed=SEED, item_limit=0))
 
 
 def q_wiki_structure(spark, d):
@@ -147,7 +147,7 @@ def q_wiki_structure(spark, d):
 
 
 def q_wiki_structure_crawl(spark, d):
-    return plain(article_structure.crawl_structure(_articles(spark, d), seed=SEED))
+    return plain(article_structure.crawl_structure(_articles(spark, d), seed=SEED, item_limit=0))
 
 
 # ---- graph --------------------------------------------------------------------------
@@ -161,6 +161,12 @@ def q_bfs_nodes(spark, d):
     return _walk(spark, d).select("url", "depth", "referrer")
 
 
+def q_bfs_full(spark, d):
+    edges = render.supplier_part_links(table(spark, d, "lineitem"))
+    nodes, _ = graph.bfs(edges, src.seed_urls(spark, ["s0"]), max_links=None, max_depth=3)
+    return nodes.select("url", "depth", "referrer")
+
+
 def q_bfs_limit(spark, d):
     return graph.first_items(_walk(spark, d), graph.walk_order(), 20).select("url", "depth")
 
@@ -317,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "q_wiki_structure": q_wiki_structure,
     "q_wiki_structure_crawl": q_wiki_structure_crawl,
     "q_bfs_nodes": q_bfs_nodes,
+    "q_bfs_full": q_bfs_full,
     "q_bfs_limit": q_bfs_limit,
     "q_graph_degrees": q_graph_degrees,
     "q_clean_strip": q_clean_strip,

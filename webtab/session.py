@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +24,8 @@ RECOMMENDED = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-# A side of a join is broadcast only when its measured size is below this.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
+# the folder of the job that runs, if it is one that cleans up after itself
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 _local_dir: str | None = None
 
 
@@ -51,12 +55,40 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="webtab-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
     return _local_dir
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The store that holds ``path``, and the path as it names it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _file_system(spark, path)
+    return store.exists(where)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """What is written to the scratch area inside goes to one folder, deleted at the end, also on failure.
+
+    Nothing that is still to be computed may read it afterwards.
+    """
+    folder = f"{scratch_root(spark)}/webtab/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        store, where = _file_system(spark, folder)
+        store.delete(where, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/webtab/{label}-{uuid.uuid4().hex}"
+    return f"{_run_folder.get() or scratch_root(spark) + '/webtab'}/{label}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from webtab.operators.stages import (clean, flatten, item_counts, rejected_items, run_statistics,
+from webtab.operators.stages import (Stage, apply_stages, clean, flatten, item_counts, rejected_items, run_statistics,
                                      valid_items)
 from webtab.session import cut
 
@@ -59,20 +60,31 @@ class RunOutput:
 
 
 def run_crawl(items: DataFrame, item_type: str, crawler: str, folder: str,
-              started: datetime | None = None) -> RunOutput:
-    """Clean and validate items, then write both files, the rejects and the summary.
-
-    The cleaned items are written once, so that the four outputs do not repeat
-    the page parse.
+              started: datetime | None = None, stages: dict[int, Stage] | None = None,
+              export: str | None = None, mode: str = "append",
+              on_start: Callable[[str], None] | None = None,
+              on_end: Callable[[str, RunOutput], None] | None = None) -> RunOutput:
+    """Run the stages over the items, then write both files, the rejects, the summary and the export.
+
+    ``stages`` maps priorities to transforms and runs in their order (by default
+    cleaning alone); validation follows. The items are written once, so that the
+    outputs do not repeat the page parse. ``on_start`` and ``on_end`` are called
+    on the driver before the first and after the last stage.
     """
     started = started or datetime.now()
-    cleaned = cut(clean(items), "items")
+    if on_start:
+        on_start(crawler)
+    cleaned = cut(apply_stages(items, {100: clean} if stages is None else stages), "items")
     valid = valid_items(cleaned, item_type)
     out = RunOutput(*[output_path(folder, crawler + part, started, ext) for part, ext in
                       (("", "csv"), ("", "jsonl"), ("_rejected", "jsonl"), ("_stats", "jsonl"))])
     write_csv(valid, out.csv)
     write_jsonl(valid, out.jsonl)
+    if export:
+        write_items(valid, export.rsplit(".", 1)[-1], export, mode)
     write_jsonl(rejected_items(cleaned, item_type), out.rejected)
     write_jsonl(run_statistics(item_counts({item_type: valid}), crawler, started, datetime.now()),
                 out.statistics)
+    if on_end:
+        on_end(crawler, out)
     return out

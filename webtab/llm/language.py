@@ -1,8 +1,8 @@
 """Language identification: scripts, word scores and a Viterbi path with a switching penalty.
 
 Learning. From about ``SAMPLE_DOCS`` labelled documents per language (whole texts, chosen by a hash
-of doc_id) each language gets log-probabilities of hashed character 1- to 3-grams and whole
-words, and the scripts that hold at least ``SCRIPT_SHARE`` of its letters. The model has
+of doc_id) each language gets log-probabilities of hashed character 1- to 4-grams,
+and the scripts that hold at least ``SCRIPT_SHARE`` of its letters. The model has
 ``2**BUCKET_BITS`` counts per language whatever the input; at most ``MOST_LANGUAGES`` languages, the
 most frequent ones, are learned.
 
@@ -19,7 +19,6 @@ an empty table gives an empty one. Other columns than id, text and label are not
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -35,11 +34,13 @@ from webtab.llm.folds import drawn
 SAMPLE_DOCS = 3000
 MOST_LANGUAGES = 200
 BUCKET_BITS = 16
+LONGEST_GRAM = 4
 SCRIPT_SHARE = 0.01
 SWITCH = 8.0
-LOWEST = -12.0
+LOWEST = -15.0
 GROUP_WORDS = 1_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
+PART_WORDS = 50_000
 # First code point of each run of Unicode blocks and its script (0: none of these).
 SCRIPTS = [(0x0000, 1), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 0), (0x0750, 6),
            (0x0780, 0), (0x0900, 7), (0x0980, 8), (0x0A00, 0), (0x0E00, 9), (0x0E80, 0), (0x10A0, 10), (0x1100, 11),
@@ -58,18 +59,25 @@ def script_of(word: str) -> int:
     return -1
 
 
-def letters(word: str) -> int:
-    return len(word) if word.isalpha() else sum(map(str.isalpha, word))
+def letters_of(word: str) -> str:
+    return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
-def grams(word: str) -> list[int]:
-    """Hashed 1- to 3-grams of the letters of a word between marks, and the word itself."""
-    own = "".join(filter(str.isalpha, word.lower()))
-    data, mask = f"<{own}>", (1 << BUCKET_BITS) - 1
-    out = [zlib.crc32(("w" + own).encode("utf-8", "replace")) & mask]
-    for n in (1, 2, 3):
-        out += [zlib.crc32(data[i:i + n].encode("utf-8", "replace")) & mask for i in range(len(data) - n + 1)]
-    return out
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the 1- to 4-grams of many words between marks, and the number of each gram's word."""
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    buckets, owners = [], []
+    for n in range(1, LONGEST_GRAM + 1):
+        m = max(0, len(codes) - n + 1)
+        h = np.full(m, n, np.uint32)
+        for k in range(n):
+            h = (h ^ codes[k:m + k]) * np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+        inside = owner[:m] == owner[n - 1:n - 1 + m]
+        buckets.append((h[inside] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BUCKET_BITS))
+        owners.append(owner[:m][inside])
+    return np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
 
 
 @dataclass
@@ -84,16 +92,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            words.setdefault(lang, Counter()).update((text.as_py() or "").split())
+            words.setdefault(lang, Counter()).update((text.as_py() or "").lower().split())
     for lang, seen in words.items():
-        n = np.zeros((1 << BUCKET_BITS) + N_SCRIPTS, np.int64)
-        for word, times in seen.items():
-            script = script_of(word)
-            if script >= 0:
-                np.add.at(n, grams(word), times)
-                n[(1 << BUCKET_BITS) + script] += times * letters(word)
+        n = np.zeros((1 << BUCKET_BITS) + N_SCRIPTS)
+        known = [(letters_of(w), script, times) for w, times in seen.items() if (script := script_of(w)) >= 0]
+        for k in range(0, len(known), PART_WORDS):
+            own, scripts, times = zip(*known[k:k + PART_WORDS], strict=True)
+            bucket, owner = grams(list(own))
+            times = np.asarray(times)
+            n += np.bincount(bucket, times[owner], len(n))
+            n += np.bincount(np.asarray(scripts) + (1 << BUCKET_BITS), times * [len(w) for w in own], len(n))
         at = np.flatnonzero(n)
-        yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])],
+        yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at].astype(np.int64))],
                               names=["lang", "bucket", "n"])
 
 
@@ -122,36 +132,49 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.rows = np.zeros((4096, max(1, len(model.langs))), np.float32)  # grows
+        self.rows = np.zeros((0, max(1, len(model.langs))), np.float32)
         self.letters: list[int] = []
         self.at: dict[str, int] = {}
-
-    def score(self, word: str, script: int) -> np.ndarray:
-        own = self.model.logs[grams(word)].sum(axis=0)
-        fits = self.model.written[script]
-        if not fits.any():  # no language is written like this (or none is known)
-            return np.zeros(max(1, len(own)), np.float32)
-        own = own - own[fits].max()
-        return np.where(fits, np.maximum(own, LOWEST), LOWEST).astype(np.float32)
+        self._new: list[tuple[str, int]] = []
+
+    def _scores(self, words: list[str], scripts: np.ndarray) -> np.ndarray:
+        """One row per word: below the best candidate's score; languages that are not written like this get the lowest."""
+        bucket, owner = grams(words)
+        logs, fits = self.model.logs, self.model.written[scripts]
+        own = np.stack([np.bincount(owner, logs[bucket, k], len(words)) for k in range(logs.shape[1])], axis=1)
+        own -= np.where(fits, own, -np.inf).max(axis=1, keepdims=True, initial=-1e9)
+        out = np.where(fits, np.maximum(own, LOWEST), LOWEST)
+        return np.where(fits.any(axis=1, keepdims=True), out, 0.0).astype(np.float32)
+
+    def scores(self) -> np.ndarray:
+        """The rows of all words so far."""
+        parts = [self.rows]
+        for k in range(0, len(self._new), PART_WORDS):
+            words, scripts = zip(*self._new[k:k + PART_WORDS], strict=True)
+            parts.append(self._scores(list(words), np.asarray(scripts)) if self.model.langs else np.zeros((len(words), 1), np.float32))
+        self.rows, self._new = np.concatenate(parts), []
+        return self.rows
 
     def index(self, words: list[str]) -> np.ndarray:
-        """Numbers of the words, -1 for those without letters."""
-        at, out = self.at, []
-        for word in words:
-            k = at.get(word)
-            if k is None:
-                script = script_of(word)
-                k = -1
-                if script >= 0:
-                    k = len(self.letters)
-                    if k == len(self.rows):
-                        self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                    self.rows[k] = self.score(word, script)
-                    self.letters.append(letters(word))
-                at[word] = k
-            out.append(k)
+        """Numbers of the words (lower case), -1 for those without letters."""
+        out = list(map(self.at.get, words))
+        if None in out:
+            for i, k in enumerate(out):
+                if k is None:
+                    out[i] = self._number(words[i])
         return np.asarray(out, np.int64)
 
+    def _number(self, word: str) -> int:
+        k = self.at.get(word)
+        if k is None:
+            script, k = script_of(word), -1
+            if script >= 0:
+                k, own = len(self.letters), letters_of(word)
+                self.letters.append(len(own))
+                self._new.append((own, script))
+            self.at[word] = k
+        return k
+
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Best languages for many texts at once. ``scores``: all words x languages, text after text, longest text first."""
@@ -210,7 +233,7 @@ class Predictor:
         words: list[np.ndarray] = []
         size = 0
         for text in texts:
-            words.append(self.scorer.index(text.split()))
+            words.append(self.scorer.index(text.lower().split()))
             size += len(words[-1])
             if size >= GROUP_WORDS:
                 out += self._group(texts[len(out):len(out) + len(words)], words)
@@ -228,7 +251,7 @@ class Predictor:
             return rows
         weight = np.asarray(self.scorer.letters, np.int64)
         lengths = np.asarray([len(own[i]) for i in order], np.int64)
-        path = viterbi(self.scorer.rows[np.concatenate([own[i] for i in order])], lengths)
+        path = viterbi(self.scorer.scores()[np.concatenate([own[i] for i in order])], lengths)
         at = 0
         for i, n in zip(order, lengths.tolist(), strict=True):
             mine = path[at:at + n]

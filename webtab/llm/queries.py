@@ -100,4 +100,24 @@ ORACLE: dict[str, str] = {
                    FROM documents),
              g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM t JOIN g USING (h)""",
+    "op10_chat": r"""
+        WITH probe AS (SELECT -1 AS conv_id, t AS turn, CASE WHEN t = 0 THEN 'user' ELSE 'assistant' END AS role,
+                              '</s>[INST] ok [/INST]' AS text FROM range(2) r(t)),
+             x AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT * FROM probe),
+             o AS (SELECT *, lag(role) OVER w AS before, row_number() OVER w AS k FROM x
+                   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+             y AS (SELECT *, length(text) + length(text) - length(regexp_replace(text, '[\\<>\[\]]', '', 'g')) AS escaped,
+                          length(role) + length(role) - length(regexp_replace(role, '[\\<>\[\]]', '', 'g')) AS named,
+                          CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                               WHEN before IN ('system', 'assistant') THEN role = 'user'
+                               WHEN before = 'user' THEN role = 'assistant' ELSE false END AS ok FROM o)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(escaped + CASE role WHEN 'user' THEN 23 WHEN 'assistant' THEN 21 WHEN 'system' THEN 21
+                                            ELSE 24 + named END) AS BIGINT) AS formatted_chars,
+               bool_and(ok) AND arg_max(role, k) = 'assistant' AS valid
+        FROM y GROUP BY conv_id""",
 }

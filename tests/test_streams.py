@@ -17,9 +17,13 @@ def test_stream_equals_batch_over_several_batches(spark):
     pages.repartition(3).write.parquet(folder)
     extract = lambda df: books.extract_books(books.shred_listings(df))
     out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    calls = []
     for _ in range(2):                  # a restart finds nothing new
-        stream.stream_items(stream_pages(spark, folder, files_per_batch=1), extract, "BookItem", out,
-                            state).awaitTermination()
+        stream.stream_items(stream_pages(spark, folder, files_per_batch=1), extract, "BookItem", out, state,
+                            files=("csv", "jsonl"), on_start=lambda k: calls.append(k), on_end=lambda k: calls.append(-k)).awaitTermination()
+    assert calls == [0, 0, 1, -1, 2, -2]
+    assert spark.read.json(f"{out}/jsonl").count() == spark.read.option("header", True).csv(f"{out}/csv").count() == 6
+    assert spark.read.parquet(f"{out}/counts").filter("item_type = 'BookItem'").agg(F.sum("n")).first()[0] == 6
     got = spark.read.parquet(f"{out}/items").drop("batch")
     want = valid_items(clean(extract(pages)), "BookItem")
     assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
@@ -56,4 +60,4 @@ def test_running_counts(spark):
         spark.createDataFrame([(k, f"http://x/{k}", "<title>t</title>")], PAGES).write.mode("append").parquet(folder)
         items = generic.page_items(stream_pages(spark, folder)).select(F.lit("ArticleItem").alias("item_type"))
         stream.running_counts(items, out, state).awaitTermination()
-        assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("ArticleItem", k + 1)]
+        assert [tuple(r) for r in stream.latest_counts(spark, out).collect()] == [("ArticleItem", k + 1)]

@@ -148,6 +148,11 @@ def odd(null_text: str) -> str:
     CASE WHEN p_partkey % 2 = 0 THEN p_type || ' | ' || p_brand ELSE {null_text} END AS kategori"""
 
 
+STREAM_ITEMS = f"""
+SELECT * FROM (SELECT page_id, {strip(decode("regexp_extract(html, '<title>(.*?)</title>', 1, 's')"))} AS judul,
+    url, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS n_links FROM pages)
+WHERE judul <> '' AND url <> ''"""
+
 ORACLE: dict[str, str] = {
     "q_seed_pages": """
 SELECT page_id, url, 0 AS kedalaman, CAST(NULL AS VARCHAR) AS url_induk FROM pages
@@ -296,12 +301,11 @@ WITH {TYPE_PAGES}, c AS (
     UNION ALL SELECT 'BookStructureItem', count(*) + 1 FROM t
     UNION ALL SELECT 'WikiStructureItem', count(*) FROM documents)
 SELECT * FROM c UNION ALL SELECT 'Total item', CAST(sum(n) AS BIGINT) FROM c""",
-    "q_stream_extract": f"""
-SELECT * FROM (SELECT page_id, {strip(decode("regexp_extract(html, '<title>(.*?)</title>', 1, 's')"))} AS judul,
-    url, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS n_links FROM pages)
-WHERE judul <> '' AND url <> ''""",
+    "q_stream_chain": f"""
+SELECT *, judul AS csv_judul FROM ({STREAM_ITEMS})""",
+    "q_stream_extract": STREAM_ITEMS,
     "q_stream_dedup": "SELECT DISTINCT h AS href FROM (" + ANCHORS + "SELECT h FROM e)",
     "q_stream_counts": """
-SELECT t AS item_type, (SELECT count(*) FROM pages) AS n
-FROM (VALUES ('ArticleItem'), ('WikiStructureItem')) AS v(t)""",
+SELECT 'ArticleItem' AS item_type, count(*) AS n FROM (@@)
+UNION ALL SELECT 'WikiStructureItem', count(*) FROM pages""".replace("@@", STREAM_ITEMS),
 }

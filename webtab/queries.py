@@ -288,12 +288,25 @@ def q_stream_dedup(spark, d):
     return spark.read.parquet(out).select("href")
 
 
+def q_stream_chain(spark, d):
+    out = scratch_path(spark, "stream-chain")
+    stream.stream_items(_page_stream(spark, d), generic.page_items, "ArticleItem", out,
+                        scratch_path(spark, "stream-state"), files=("csv", "jsonl")).awaitTermination()
+    items = spark.read.parquet(f"{out}/items").drop("batch")
+    lines = sinks.read_jsonl(spark, f"{out}/jsonl", items.schema)
+    cells = sinks.read_csv(spark, f"{out}/csv", items.schema).select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("judul").alias("csv_judul"))
+    return lines.drop("batch").join(cells, "page_id")
+
+
 def q_stream_counts(spark, d):
-    items = generic.page_items(_page_stream(spark, d)).select(
-        F.explode(F.array(F.lit("ArticleItem"), F.lit("WikiStructureItem"))).alias("item_type"))
+    brief = stages.valid_items(stages.clean(generic.page_items(_page_stream(spark, d))), "ArticleItem")
+    full = stages.valid_items(stages.clean(article_structure.extract_structure(_page_stream(spark, d))), "WikiStructureItem")
+    items = brief.select(F.lit("ArticleItem").alias("item_type")).unionByName(
+        full.select(F.lit("WikiStructureItem").alias("item_type")))
     out = scratch_path(spark, "stream-counts")
     stream.running_counts(items, out, scratch_path(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(out)
+    return stream.latest_counts(spark, out)
 
 
 QUERIES: dict[str, Query] = {
@@ -335,5 +348,6 @@ QUERIES: dict[str, Query] = {
     "q_item_stats": q_item_stats,
     "q_stream_extract": q_stream_extract,
     "q_stream_dedup": q_stream_dedup,
+    "q_stream_chain": q_stream_chain,
     "q_stream_counts": q_stream_counts,
 }

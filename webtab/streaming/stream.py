@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from webtab.operators.stages import clean, rejected_items, valid_items
+from webtab.operators.stages import (Stage, apply_stages, clean, item_counts, rejected_items,
+                                     valid_items)
+from webtab.sources.sinks import write_items
 
 
 def _start(stream: DataFrame, checkpoint: str, mode: str,
@@ -19,21 +21,31 @@ def _start(stream: DataFrame, checkpoint: str, mode: str,
 
 
 def stream_items(pages: DataFrame, extract: Callable[[DataFrame], DataFrame], item_type: str,
-                 folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Extract, clean and validate; write ``folder/items`` and ``folder/rejected``.
-
-    A repeated micro-batch overwrites its own subfolder, so each page gives its
-    items exactly once.
+                 folder: str, checkpoint: str, once: bool = True, stages: dict[int, Stage] | None = None,
+                 files: tuple[str, ...] = (), on_start: Callable[[int], None] | None = None,
+                 on_end: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Extract, run the stages (by default cleaning) and validate; write ``folder/items``,
+    ``folder/rejected`` and ``folder/counts``, and ``folder/csv`` or ``folder/jsonl`` if ``files`` names them.
+
+    A repeated micro-batch overwrites its own subfolders, so each page gives its
+    items exactly once. ``on_start`` and ``on_end`` are called around each batch.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()        # two outputs, one parse
-        valid_items(batch, item_type).write.mode("overwrite").parquet(
-            f"{folder}/items/batch={batch_id}")
-        rejected_items(batch, item_type).write.mode("overwrite").parquet(
-            f"{folder}/rejected/batch={batch_id}")
+        if on_start:
+            on_start(batch_id)
+        batch = batch.persist()        # several outputs, one parse
+        valid, own = valid_items(batch, item_type), f"batch={batch_id}"
+        valid.write.mode("overwrite").parquet(f"{folder}/items/{own}")
+        for kind in files:
+            write_items(valid, kind, f"{folder}/{kind}/{own}", "overwrite")
+        rejected_items(batch, item_type).write.mode("overwrite").parquet(f"{folder}/rejected/{own}")
+        item_counts({item_type: valid}).write.mode("overwrite").parquet(f"{folder}/counts/{own}")
         batch.unpersist()
+        if on_end:
+            on_end(batch_id)
 
-    return _start(extract(pages).transform(clean), checkpoint, "append", sink, once)
+    chain = {100: clean} if stages is None else stages
+    return _start(apply_stages(extract(pages), chain), checkpoint, "append", sink, once)
 
 
 def first_visits(stream: DataFrame, key: str = "url", event_time: str | None = None,
@@ -59,10 +71,16 @@ def write_batches(stream: DataFrame, folder: str, checkpoint: str,
 
 def running_counts(items: DataFrame, folder: str, checkpoint: str,
                    once: bool = True) -> StreamingQuery:
-    """Items per type so far (``item_type``, ``n``); the folder holds the latest counts."""
+    """Items per type so far (``item_type``, ``n``), one subfolder per micro-batch; see ``latest_counts``."""
     counts = items.groupBy("item_type").agg(F.count("*").alias("n"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(folder)
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
     return _start(counts, checkpoint, "complete", sink, once)
+
+
+def latest_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of the last micro-batch."""
+    written = spark.read.parquet(folder)
+    return written.filter(F.col("batch") == written.select(F.max("batch")).scalar()).drop("batch")

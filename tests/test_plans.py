@@ -85,3 +85,15 @@ def scratch(spark):
 def test_unused_marks_cost_no_columns(spark):
     df = shred(wide_pages(spark), books.LISTING, split="card").filter(F.col("frag") > 0).select("page_id")
     assert "Project [page_id" in text(df) and "Exchange" not in text(df)
+
+
+def test_statistics_parse_pages_once(spark):
+    import os
+
+    import pytest
+    from webtab.queries import QUERIES
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    plan = text(QUERIES["q_item_stats"](spark, folder))
+    assert plan.count("MapInArrow") == 1

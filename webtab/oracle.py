@@ -72,6 +72,8 @@ def walk(edges: str, seed: str, nodes: str | None, cap: int | None = 5, depth: i
 LINK_ROWS = ("SELECT DISTINCT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem UNION "
              "SELECT DISTINCT 'p' || l_partkey, 's' || l_suppkey FROM lineitem")
 LINK_EDGES = f"SELECT src, dst, dst AS probe, dst AS pos FROM ({LINK_ROWS})"
+HUB_EDGES = f"""{LINK_EDGES} UNION SELECT 'a_hub', src, src, src FROM ({LINK_ROWS})
+UNION SELECT src, 'a_hub', 'a_hub', 'a_hub' FROM ({LINK_ROWS})"""
 
 # ---- articles -------------------------------------------------------------------------
 N_DOCS = "(SELECT max(doc_id) + 1 FROM documents)"
@@ -262,6 +264,8 @@ FROM a JOIN visited v ON v.url = a.url LEFT JOIN o ON o.src = a.url""",
 WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth, referrer FROM visited""",
     "q_bfs_full": f"""
 WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM visited""",
+    "q_bfs_hub": f"""
+WITH {walk(HUB_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM visited""",
     "q_bfs_limit": f"""
 WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth FROM visited ORDER BY visited.depth, ord LIMIT 20""",
     "q_graph_degrees": f"""

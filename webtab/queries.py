@@ -167,6 +167,17 @@ def q_bfs_full(spark, d):
     return nodes.select("url", "depth", "referrer")
 
 
+def q_bfs_hub(spark, d):
+    """One page that links to all others and is linked by all: a third of all links at either end."""
+    edges = render.supplier_part_links(table(spark, d, "lineitem"))
+    names = edges.select(F.col("src").alias("n")).distinct()
+    hub = F.lit("a_hub")
+    edges = (edges.unionByName(names.select(hub.alias("src"), F.col("n").alias("dst"), F.col("n").alias("pos")))
+             .unionByName(names.select(F.col("n").alias("src"), hub.alias("dst"), hub.alias("pos"))))
+    nodes, _ = graph.bfs(edges, src.seed_urls(spark, ["s0"]), max_links=None, max_depth=3)
+    return nodes.select("url", "depth", "referrer")
+
+
 def q_bfs_limit(spark, d):
     return graph.first_items(_walk(spark, d), graph.walk_order(), 20).select("url", "depth")
 
@@ -257,13 +268,13 @@ def q_sink_jsonl_roundtrip(spark, d):
 
 
 def q_item_stats(spark, d):
-    shop = books_structure.extract_pages(_categories(spark, d))
     wiki = _articles(spark, d)
+    # structure items are one per page and nothing is required of them: their number needs no parse
     items = {
         "BookItem": stages.clean(_dirty_books(spark, d)),
         "ArticleItem": stages.clean(articles.extract_articles(wiki)),
-        "BookStructureItem": stages.clean(shop),
-        "WikiStructureItem": stages.clean(article_structure.extract_structure(wiki)),
+        "BookStructureItem": _categories(spark, d).select("url"),
+        "WikiStructureItem": wiki.select("url"),
     }
     return stages.item_counts({t: stages.valid_items(df, t) for t, df in items.items()})
 
@@ -337,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "q_wiki_structure_crawl": q_wiki_structure_crawl,
     "q_bfs_nodes": q_bfs_nodes,
     "q_bfs_full": q_bfs_full,
+    "q_bfs_hub": q_bfs_hub,
     "q_bfs_limit": q_bfs_limit,
     "q_graph_degrees": q_graph_degrees,
     "q_clean_strip": q_clean_strip,

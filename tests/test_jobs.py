@@ -29,7 +29,7 @@ def test_a_job_can_be_repeated_and_leaves_no_tables(spark, tmp_path, monkeypatch
     shared = tmp_path / "shared"
     monkeypatch.setattr("webtab.session.scratch_root", lambda _: str(shared))
     pages, out = str(tmp_path / "pages"), str(tmp_path / "output")
-    spark.createDataFrame([(1, "https://books.toscrape.com/x", "")], PAGES).write.parquet(pages)
+    spark.createDataFrame([(1, "https://shop.example/x", "")], PAGES).write.parquet(pages)
     seen = []
     jobs.register("mine", lambda p, title="none", item_limit=0: p.select(F.lit(f" {title} ").alias("judul"), F.lit("1").alias("harga"),
                                                                          "url"), "BookItem", texts=("title",))

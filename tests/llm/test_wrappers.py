@@ -49,6 +49,16 @@ def test_main_text(spark):
     assert w.main_text(df.limit(0)).count() == 0
 
 
+def test_containers():
+    def text(source):
+        return w.Page(source).text(set())
+    assert text("<div class='with-sidebar'><article><p>in</p><div class=ad>out</div></article></div>") == "in"
+    assert text("<article><header class='entry-header'><h1>head</h1></header><p>in</p></article><header>out</header>") == "head\nin"
+    assert text("<article><p>in</p></article><article class=comment><p>out</p></article>") == "in"
+    assert text("<div class=related><article>teaser</article></div><article>in</article>") == "in"
+    assert text("<header><h1>out</h1></header><p>in</p><section id=comments><p>out</p></section>") == "in"
+
+
 def test_long_pages_take_linear_time():
     for source in ("<p>" * 60_000, "<div><i>" * 30_000 + "x", "<a '>" * 40_000, "<" * 60_000, "<!--" * 40_000, "x</b>" * 40_000,
                    "<script>" + "</scrip" * 20_000, "<p>word</p>\n" * 40_000):

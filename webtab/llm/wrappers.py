@@ -51,6 +51,8 @@ WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adslot
     side widget menu nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer cookie cookies consent gdpr notice
     notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
     recommendations comment comments respond replies reply disqus pager pagination copyright disclaimer toolbar hidden""".split())
+ARTICLE_WORDS = frozenset("""ad ads advert advertisement sponsored promo related recommended comment comments respond replies
+    reply""".split())
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?:>|$)|[^>]*+(?:>|$))")
 
@@ -92,16 +94,21 @@ def tokens(page: str) -> Iterator[tuple[str, str, dict]]:
             at = end.start() if end else n
 
 
-def marked_outside(name: str, attrs: dict) -> bool:
-    """Whether an element is no part of an article by its name, role, class words or being hidden."""
+def marked_outside(name: str, attrs: dict, level: int = 0) -> bool:
+    """Whether an element is no part of an article by its name, role, class words or being hidden.
+
+    ``level`` says whether it stands in an article, which may have a header of its own.
+    """
     if name in OUTSIDE or name in RAW or "hidden" in attrs or attrs.get("role", "").lower() in ROLES:
         return True
     if attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
         return True
-    if name in ("html", "body", "article", "main"):
+    if name in ("html", "body"):
         return False
-    words = re.findall(r"[a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())
-    return not WORDS.isdisjoint(words)
+    words = set(re.findall(r"[a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
+    if name in ("article", "main"):
+        return not ARTICLE_WORDS.isdisjoint(words)
+    return not WORDS.isdisjoint(words - {"header"} if level else words)
 
 
 class Page:
@@ -109,18 +116,19 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.keys: list[str] = []  # one per tag, TEXT for texts
-        self.texts: list[tuple[int, int, str, int, bool]] = []  # token number, block, text, container level, outside
-        stack: list[tuple[str, bool, int]] = []
+        # token number, block, text, container level, outside, outside within the container
+        self.texts: list[tuple[int, int, str, int, bool, bool]] = []
+        stack: list[tuple[str, bool, bool, int]] = []
         names: dict[str, int] = {}
         block = level = 0  # level: 2 in an article, 1 in main
-        outside = False
+        outside = inner = False
         for kind, name, attrs in tokens(source):
             if kind == "text":
                 if not name.isspace():
-                    self.texts.append((len(self.keys), block, name, level, outside))
+                    self.texts.append((len(self.keys), block, name, level, outside, inner))
                     self.keys.append(TEXT)
                 elif self.texts and self.texts[-1][1] == block:
-                    self.texts.append((-1, block, " ", level, outside))
+                    self.texts.append((-1, block, " ", level, outside, inner))
                 continue
             if name in BLOCKS:
                 block += 1
@@ -129,15 +137,16 @@ class Page:
                 self.keys.append(f"<{name}.{first[0]}>" if first else f"<{name}>")
                 if name in VOID:
                     continue
-                stack.append((name, outside, level))
+                stack.append((name, outside, inner, level))
                 names[name] = names.get(name, 0) + 1
-                outside = outside or marked_outside(name, attrs) or (name == "header" and level == 0)
-                if not outside:
+                own = marked_outside(name, attrs, level) or (name == "header" and level == 0)
+                outside, inner = outside or own, level > 0 and (inner or own)
+                if not own:
                     level = max(level, 2 if name == "article" else 1 if name == "main" or attrs.get("role") == "main" else 0)
             elif names.get(name):
                 self.keys.append(f"</{name}>")
                 while stack:
-                    top, outside, level = stack.pop()
+                    top, outside, inner, level = stack.pop()
                     names[top] -= 1
                     if top == name:
                         break
@@ -146,12 +155,14 @@ class Page:
     def lines(self, template: set[int]) -> list[str]:
         """The article's blocks; ``template``: numbers of the tokens that are template text."""
         inside = [t for t in self.texts if not t[4]]
+        if not any(t[0] >= 0 for t in inside):  # a class word of something around the article
+            inside = [t for t in self.texts if t[3] and not t[5]]
         best = max((t[3] for t in inside), default=0)
         fixed = sum(len(t[2]) for t in inside if t[0] in template)
         if 2 * fixed > sum(len(t[2]) for t in inside):  # copies of one page: what they share is their text
             template = set()
         out: dict[int, list[str]] = {}
-        for number, block, text, level, _ in inside:
+        for number, block, text, level, _, _ in inside:
             if level == best and not (level == 0 and number in template):
                 out.setdefault(block, []).append(entities.unescape(text) if "&" in text else text)
         lines = (" ".join("".join(parts).split()) for parts in out.values())
@@ -217,7 +228,7 @@ def infer(pages: list[str]) -> str:
     wrapper: list | None = None
     for source in pages:
         page = Page(source)
-        said = {n: " ".join(t.split()) for n, _, t, _, _ in page.texts if n >= 0}
+        said = {n: " ".join(t.split()) for n, _, t, *_ in page.texts if n >= 0}
         keys = page.keys[:SAMPLE_TOKENS]
         own, at = [], 0
         for key in fold(keys):
@@ -281,7 +292,7 @@ class Wrapper:
         found = self._pattern.fullmatch("".join(self._char.get(k, UNKNOWN) for k in page.keys))
         if not found:
             return set()
-        said = {n: t for n, _, t, _, _ in page.texts if n >= 0}
+        said = {n: t for n, _, t, *_ in page.texts if n >= 0}
         at = ((found.start(g), own) for g, own in enumerate(self._template, 1))
         return {n for n, own in at if n >= 0 and " ".join(said[n].split()) == own}
 

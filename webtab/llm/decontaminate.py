@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 Q = 8
 BUDGET = 0.1
 BLOCK_CHARS = 1_000_000
-WINDOW = 2_000_000
+WINDOW = 1_000_000
 FAR = 1 << 20
 LETTERS = np.asarray([chr(c).isalnum() for c in range(0x3000)] + [True])  # from 0x3000 on all count as letters
 MATCH = "doc_id long, item_id long, start long, end long, edits int"

@@ -16,7 +16,7 @@ from itertools import islice
 
 import numpy as np
 
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 LONGEST_CACHED = 64
 LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 WORD_AND_MARKS = re.compile(LETTERS.pattern.join("()") + r"([!-&(-/:-@\[-`{-~]+)")

@@ -38,8 +38,8 @@ LONGEST_GRAM = 4
 SCRIPT_SHARE = 0.01
 SWITCH = 8.0
 LOWEST = -15.0
-GROUP_WORDS = 1_000_000
-CACHED_WORDS = 400_000
+GROUP_WORDS = 500_000
+CACHED_WORDS = 200_000
 PART_WORDS = 50_000
 # First code point of each run of Unicode blocks and its script (0: none of these).
 SCRIPTS = [(0x0000, 1), (0x0370, 2), (0x0400, 3), (0x0530, 4), (0x0590, 5), (0x0600, 6), (0x0700, 0), (0x0750, 6),

@@ -124,6 +124,20 @@ def test_links_find_every_near_pair(spark, monkeypatch, cell):
     assert {frozenset(s) for s in want.values()} == {frozenset(s) for s in have.values()}
 
 
+def test_links_between_homes_of_a_crowded_anchor(spark, monkeypatch):
+    """Pairs that are equal in one block and two free bits apart in each of the others meet at one anchor only."""
+    monkeypatch.setattr(simhash, "CELL", 25)
+    rng = random.Random(2)
+    pairs = []
+    for _ in range(60):
+        x = (rng.getrandbits(42) << 22) | 12345
+        apart = sum(1 << first + b for first, _ in simhash.BLOCKS[1:] for b in rng.sample(range(simhash.CODED, 21), 2))
+        pairs.append(tuple(np.asarray([x, x ^ apart], np.uint64).view(np.int64).tolist()))
+    df = spark.createDataFrame([(v,) for p in pairs for v in p], "fp long")
+    got = {tuple(sorted((r.a, r.b))) for r in simhash.links(df).collect()}
+    assert got == {tuple(sorted(p)) for p in pairs}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001 + i) for i in range(300)] + [(5, 5), (1, 2)]
     got = components(spark.createDataFrame(edges, "a long, b long"))

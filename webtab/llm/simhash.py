@@ -85,7 +85,10 @@ def _anchor_tables() -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint to its anchors; the first is home. anchor = word of the block, with the block's number on top."""
+    """Each fingerprint to its anchors; home comes first, and once more as a place it is sent to, for home meets home as well.
+
+    anchor = word of the block, with the block's number on top.
+    """
     syndrome, flips = _anchor_tables()
     for batch in batches:
         fp = batch.column("fp").to_numpy(zero_copy_only=False)
@@ -96,7 +99,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s in range(CODED + 1):
                 at = np.flatnonzero(own == s)
                 home = word[at] ^ flips[s][0]
-                for k, flip in enumerate([0, *[1 << b for b in range(CODED, width)], *(flips[s][1:] ^ flips[s][0]).tolist()]):
+                for k, flip in enumerate([0, 0, *[1 << b for b in range(CODED, width)], *(flips[s][1:] ^ flips[s][0]).tolist()]):
                     out_anchor.append((home ^ flip) | number << 32)
                     out_home.append(np.full(len(at), k == 0))
                     out_fp.append(fp[at])
@@ -170,14 +173,13 @@ def links(prints: DataFrame) -> DataFrame:
     crowded = cut(sent.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > CELL)
                   .select("anchor", slices.cast("int").alias("slices")), "crowded")
     own = F.pmod(F.xxhash64("fp"), F.col("slices"))
-    # those at home go along their row of the grid of cells, the others down their column
+    # those at home go along their row of the grid of cells, all that were sent (home's second row too) down their column
     along = F.sequence(own * F.col("slices"), own * F.col("slices") + F.col("slices") - 1)
     down = F.transform(F.sequence(F.lit(0).cast("long"), F.col("slices") - F.lit(1).cast("long")), lambda k: k * F.col("slices") + own)
     dealt = sent if crowded.isEmpty() else sent.join(crowded, "anchor", "left")
     dealt = (dealt.withColumn("cell", F.lit(0).cast("long")) if dealt is sent else
              dealt.withColumn("slices", F.coalesce("slices", F.lit(1)).cast("long"))
              .withColumn("cell", F.explode(F.when(F.col("home"), along).otherwise(down))))
-    dealt = dealt.unionByName(dealt.where("home").withColumn("home", F.lit(False)))  # home meets home as well
     return (dealt.select("anchor", "cell", "home", "fp").repartition("anchor", "cell")
             .sortWithinPartitions("anchor", "cell").mapInArrow(_compare, "a long, b long"))
 

@@ -1,6 +1,7 @@
 """HTML main text: inference of wrappers, containers, odd markup."""
 
 import json
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -49,6 +50,37 @@ def test_main_text(spark):
     assert w.main_text(df.limit(0)).count() == 0
 
 
+def test_every_layout_of_a_host_is_matched(spark):
+    """More layouts than any small sample has, among them pages of more than 20,000 tokens."""
+    def source(k, n):
+        inline = "".join(f"<{t}>{t}{k}</{t}>" for b, t in enumerate("i b u em".split()) if k >> b & 1)
+        return f"<div id=top>Read more on our site</div><div id=c>{inline}" + "".join(f"<p>w{k} {j} is a part of its own</p>" for j in range(n)) + "</div>"
+    rows = [(k, f"http://a.example/{k}", source(k, 2)) for k in range(16)] * 2
+    rows += [(k, f"http://long.example/{k}", source(k, 7000 + k)) for k in range(4)]
+    got = w.main_text(spark.createDataFrame(rows, PAGE)).collect()
+    assert len(got) == 36 and all("Read more" not in r.text and f"w{r.page_id} 1" in r.text for r in got)
+
+
+def test_text_of_one_page_is_no_template_text(spark):
+    rows = [(k, f"http://a.example/{k}", f"<div>same</div><p>text {k} {'x' * 9}</p>" + ("<i>once</i>" if k == 1 else "")) for k in range(20)]
+    rows.append((20, "http://a.example/20", "<div>other</div><p>text 20</p>"))
+    got = {r.page_id: r.text for r in w.main_text(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got[1] == "same\ntext 1 xxxxxxxxx\nonce" and got[20] == "other\ntext 20"
+
+
+def test_wrappers_match_what_was_aligned():
+    rng = random.Random(1)
+    for _ in range(60):
+        wrapper, layouts = None, [w.fold([rng.choice("abcdT") for _ in range(rng.randint(1, 25))]) for _ in range(8)]
+        for layout in layouts:
+            wrapper = w.Wrapper(json.dumps(w.widened(wrapper, layout)), 0).items
+        assert all(w.Wrapper(json.dumps(wrapper), 0).matches(layout) for layout in layouts)
+    keys = "p b T br p T /p p T /p p b T br p T /p p T /p p b T br p T /p".split()  # a repeat, then a shorter copy of its group
+    assert sum(w.folded(keys)[1]) == len(keys)
+    long = [[rng.choice("abcdT") for _ in range(5000)] for _ in range(2)]
+    assert w.Wrapper(json.dumps(w.widened(w.widened(None, long[0]), long[1])), 0).matches(long[0])
+
+
 def test_containers():
     def text(source):
         return w.Page(source).text(set())

@@ -1,18 +1,20 @@
 """Main text of HTML pages with wrappers: union-free regular expressions inferred per host.
 
-Inference. For each host the tokens of up to ``SAMPLE_PAGES`` pages (smallest hashes of page_id and url) are aligned one
-after the other with the wrapper so far. A page is first folded: immediate repeats of a group become ``(...)+``. What one
-side has and the other lacks becomes an optional group; unequal texts at one place become a slot, equal ones stay template
-text; two different repeats are aligned inside. The result has no unions, only tags, texts, slots, ``(...)?`` and ``(...)+``.
-
-Extraction. Every page's whole token stream is matched against its host's wrapper, compiled to a pattern over one
-character per tag. The wrapper tells template text (the same on all sampled pages) from data; template text is dropped unless it
-stands in the article itself. Among data, the article is told by its container: the ``article`` elements, else ``main``, else
+Inference. A page's layout is its whole token stream, folded: immediate repeats of a group become ``(...)+``. Distinct layouts
+are counted per host first, so copies and pages of one layout cost one row. In rounds, up to ``ROUND_LAYOUTS`` layouts of a
+host (most pages first) that its wrapper does not match are aligned with it one after the other, until all match: what one side has and the
+other lacks becomes an optional group; two different repeats are aligned inside. The result has no unions, only tags, texts, slots,
+``(...)?`` and ``(...)+``, and matches every layout aligned with it. Layouts left after ``ROUNDS`` rounds are counted in a warning.
+A last pass over all pages of the host keeps for each slot and each repeated group the texts that every page with it has there; if at
+least ``LEAST_PAGES`` different pages have it, those are template text, the rest is data.
+
+Extraction. Every page's layout is matched against its host's wrapper. The wrapper tells template text from data, template text is dropped
+unless it stands in the article itself. Among data, the article is told by its container: the ``article`` elements, else ``main``, else
 the body; menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden parts are left out by
-their elements, roles and class words. A page that its wrapper does not match (no sampled page was like it) has no template
-text; the containers decide alone. So do they where template text would be more than half of a page: its host's pages are copies.
+their elements, roles and class words. Where template text would be more than half of an article the containers decide alone: its
+host's pages are copies.
 
-Each page is a row of its own; a host gives the cluster at most its sampled pages, picked before the shuffle. The wrappers
+Each page is a row of its own; layouts and texts per slot are reduced in each partition before the shuffle. The wrappers
 come back to the pages by a join on host (one row per host; adaptive skew splitting divides a host's pages).
 
 Cases: null html gives an empty text; a null or malformed url is a host of its own; texts of any length are read whole by one
@@ -22,9 +24,12 @@ empty one; other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
+import logging
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -34,11 +39,14 @@ from pyspark.sql import functions as F
 
 from webtab.session import cut
 
-SAMPLE_PAGES = 8
+ROUND_LAYOUTS = 200
+ROUNDS = 50
 LONGEST_GROUP = 24
-SAMPLE_TOKENS = 20_000
+ALIGNED = 4_000_000  # items times items that are aligned in full
+STATES = 5_000_000  # steps of one match
+HELD = 50_000  # rows a partition keeps before it hands them on
 LEAST_PAGES = 3
-TEXT, UNKNOWN = "T", ""
+TEXT = "T"
 # Element names of the HTML standard by what they are here.
 RAW = frozenset("script style noscript template svg iframe object math canvas video audio title textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -174,8 +182,14 @@ class Page:
 
 def fold(items: list) -> list:
     """Immediate repeats of a group of up to ``LONGEST_GROUP`` items become ``("+", group)``, short groups first."""
+    return folded(items)[0]
+
+
+def folded(items: list) -> tuple[list, list[int]]:
+    """``fold``, and how many tokens each item covers."""
+    sizes = [1] * len(items)
     for size in range(1, LONGEST_GROUP + 1):
-        out, i, n = [], 0, len(items)
+        out, covers, i, n = [], [], 0, len(items)
         while i < n:
             group = items[i:i + size]
             j = i + size
@@ -183,28 +197,74 @@ def fold(items: list) -> list:
                 j += size
             if j > i + size:
                 out.append(("+", tuple(group)) if not (size == 1 and group[0][0] == "+") else group[0])
+                covers.append(sum(sizes[i:j]))
                 i = j
             else:
                 out.append(items[i])
+                covers.append(sizes[i])
                 i += 1
-        items = out
-    return items
+        items, sizes = out, covers
+    return items, sizes
+
+
+def _opcodes(a: list, b: list) -> Iterator[tuple[str, int, int, int, int]]:
+    """What is equal and what is replaced between two lists of keys; long lists are divided at keys that both have once."""
+    def between(i: int, j: int, k: int, m: int) -> Iterator[tuple[str, int, int, int, int]]:
+        if (j - i) * (m - k) <= ALIGNED:
+            for op, p, q, r, t in SequenceMatcher(None, a[i:j], b[k:m], autojunk=False).get_opcodes():
+                yield op, p + i, q + i, r + k, t + k
+        else:
+            yield "replace", i, j, k, m
+
+    head, end = 0, min(len(a), len(b))
+    while head < end and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < end - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    if head:
+        yield "equal", 0, head, 0, head
+    i, k, j, m = head, head, len(a) - tail, len(b) - tail
+    if (j - i) * (m - k) > ALIGNED:
+        once = [{key: n for n, key in enumerate(x) if counts[key] == 1} for x, counts in ((a, Counter(a[i:j])), (b, Counter(b[k:m])))]
+        for key, n in once[0].items():
+            at = once[1].get(key, -1)
+            if n >= i and at >= k:
+                yield from between(i, n, k, at)
+                yield "equal", n, n + 1, at, at + 1
+                i, k = n + 1, at + 1
+    yield from between(i, j, k, m)
+    if tail:
+        yield "equal", j, len(a), m, len(b)
 
 
 def aligned(wrapper: list, page: list) -> list:
     """A wrapper that also matches ``page``. Items are [key, optional group or 0, template text or None]."""
     names = max((w[1] for w in wrapper), default=0)
     out: list = []
-    for op, a, b, c, d in SequenceMatcher(None, [w[0] for w in wrapper], [p[0] for p in page], autojunk=False).get_opcodes():
+
+    def named(items: list, start: int) -> list:
+        """An optional group of which the page has a part is divided."""
+        nonlocal names
+        last, now, own = None, 0, []
+        for key, group, said in items:
+            group = group or start
+            if group and group != last:
+                names += 1
+                now = names
+            own.append([key, now if group else 0, said])
+            last = group
+        return own
+
+    for op, a, b, c, d in _opcodes([w[0] for w in wrapper], [p[0] for p in page]):
         if op == "equal":
-            out += [[w[0], w[1], w[2] if w[2] == p[2] else None] for w, p in zip(wrapper[a:b], page[c:d], strict=True)]
+            out += [[w[0], w[1], w[2] if w[2] == p[2] else None] for w, p in zip(named(wrapper[a:b], 0), page[c:d], strict=True)]
             continue
         if op == "replace" and b - a == d - c == 1 and wrapper[a][0][0] == page[c][0][0] == "+":
             inner = aligned([[k, 0, None] for k in wrapper[a][0][1]], [[k, 0, None] for k in page[c][0][1]])
-            out.append([("+", tuple(_grouped(inner))), wrapper[a][1], None])
+            out += named([[("+", tuple(_grouped(inner))), wrapper[a][1], None]], 0)
             continue
-        names += 1
-        out += [[w[0], w[1] or names, w[2]] for w in wrapper[a:b]]
+        out += named(wrapper[a:b], -1)
         names += 1
         out += [[p[0], names, p[2]] for p in page[c:d]]
     return out
@@ -223,78 +283,133 @@ def _grouped(items: list) -> list:
     return out
 
 
+def digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(" ".join(text.split()).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def widened(wrapper: list | None, layout: list) -> list:
+    """The wrapper of a host, aligned with one more layout unless it matches."""
+    own = [[key, 0, None] for key in layout]
+    if wrapper is None:
+        return own
+    return wrapper if _path(wrapper, layout, {}) is not None else aligned(wrapper, own)
+
+
 def infer(pages: list[str]) -> str:
-    """The wrapper of a host from a few of its pages, as JSON: [[item, group, template text], ...]."""
+    """The wrapper of a few pages of one host, as JSON: [[item, group, template text], ...]."""
     wrapper: list | None = None
-    for source in pages:
-        page = Page(source)
+    own = [Page(source) for source in pages]
+    for page in own:
+        wrapper = widened(wrapper, fold(page.keys))
+    whole = Wrapper(json.dumps(wrapper or []), 0)
+    texts: dict[int, list[set[str]]] = {}
+    for page in own:
         said = {n: " ".join(t.split()) for n, _, t, *_ in page.texts if n >= 0}
-        keys = page.keys[:SAMPLE_TOKENS]
-        own, at = [], 0
-        for key in fold(keys):
-            own.append([key, 0, said.get(at) if key == TEXT else None])
-            at += _length(key, keys, at)
-        wrapper = own if wrapper is None else aligned(wrapper, own)
+        for slot, numbers in whole.slots(page):
+            texts.setdefault(slot, []).append({said[n] for n in numbers})
+    for slot, each in texts.items():
+        found = set.intersection(*each)
+        if found and len(each) >= LEAST_PAGES:
+            wrapper[slot][2] = found.pop() if wrapper[slot][0] == TEXT else sorted(map(digest, found))
     return json.dumps(wrapper or [])
 
 
-def _length(item, keys: list[str], at: int) -> int:
-    """How many tokens from ``at`` an item of the folded page covers."""
-    if isinstance(item, str):
-        return 1
-    done = at
-    while True:
-        here = done
-        for part in item[1]:
-            if isinstance(part, str):
-                if here >= len(keys) or keys[here] != part:
-                    return done - at
-                here += 1
-            else:
-                n = _length(part, keys, here)
-                if not n:
-                    return done - at
-                here += n
-        done = here
+def _tuples(item):
+    return item if isinstance(item, str) else (item[0], tuple(map(_tuples, item[1])))
+
+
+def _flat(items: tuple, group: int = 0) -> list:
+    """Inverse of ``_grouped``; an optional group in another one is divided from it."""
+    out: list = []
+    for item in items:
+        if item[0] == "?":
+            out += _flat(item[1], (out[-1][1] if out else group) + 1)
+        else:
+            out.append([item, group, None])
+    return out
+
+
+def _path(wrapper: list, layout: list, fits: dict) -> list[tuple[int, int]] | None:
+    """Which item of the wrapper each item of a layout is, or None if it does not match (or not within ``STATES`` steps)."""
+    n, m = len(wrapper), len(layout)
+    skip, end = [-1] * n, n
+    for i in range(n - 1, -1, -1):  # where an optional group ends, at its first item
+        group = wrapper[i][1]
+        if i + 1 == n or wrapper[i + 1][1] != group:
+            end = i + 1
+        if group and (i == 0 or wrapper[i - 1][1] != group):
+            skip[i] = end
+
+    def fit(own, other) -> bool:
+        if own == other:
+            return True
+        if own[0] != "+" or other[0] != "+":
+            return False
+        if (own, other) not in fits:
+            fits[own, other] = _path(_flat(own[1]), list(other[1]), fits) is not None
+        return fits[own, other]
+
+    i = j = 0
+    trail: list[tuple[int, int]] = []
+    choices: list[tuple[int, int, int]] = []
+    seen = {(0, 0)}
+    while len(seen) <= STATES:
+        if i == n and j == m:
+            return trail
+        if i < n:
+            if skip[i] >= 0 and (skip[i], j) not in seen:
+                choices.append((skip[i], j, len(trail)))
+            if j < m and (i + 1, j + 1) not in seen and fit(wrapper[i][0], layout[j]):
+                trail.append((i, j))
+                i, j = i + 1, j + 1
+                seen.add((i, j))
+                continue
+        while choices and choices[-1][:2] in seen:
+            choices.pop()
+        if not choices:
+            return None
+        i, j, kept = choices.pop()
+        del trail[kept:]
+        seen.add((i, j))
+    return None
 
 
 class Wrapper:
-    """A wrapper as a pattern over one character per token; each template text is a group of its own."""
+    """A wrapper that tells the slots of pages; the third part of an item is its template text, or digests of several."""
 
     def __init__(self, stored: str | None, pages: int) -> None:
-        self._char: dict[str, str] = {TEXT: TEXT}
-        self._template: list[str] = []
-        parts: list[str] = []
-        items, i = json.loads(stored or "[]"), 0
-        while i < len(items):
-            j = i + 1
-            while items[i][1] and j < len(items) and items[j][1] == items[i][1]:
-                j += 1
-            own = "".join(self._item(key, said if pages >= LEAST_PAGES else None) for key, _, said in items[i:j])
-            parts.append(f"(?:{own})?+" if items[i][1] else own)
-            i = j
-        self._pattern = re.compile("".join(parts)) if parts else None
-
-    def _item(self, key, said: str | None) -> str:
-        if isinstance(key, str):
-            char = re.escape(self._char.setdefault(key, chr(0xE000 + len(self._char) % 0x1800)))
-            if key == TEXT and said:
-                self._template.append(said)
-                return f"({char})"
-            return char
-        inner = "".join(self._item(k, None) for k in key[1])
-        return f"(?:{inner}){'++' if key[0] == '+' else '?+'}"
+        self.items = [[_tuples(key), group, said] for key, group, said in json.loads(stored or "[]")]
+        self._said = {i: {digest(said)} if isinstance(said, str) else set(said)
+                      for i, (_, _, said) in enumerate(self.items) if said and pages >= LEAST_PAGES}
+        self._fits: dict = {}
+        self._known: dict[str, list[tuple[int, list[int]]] | None] = {}
+
+    def matches(self, layout: list) -> bool:
+        return _path(self.items, layout, self._fits) is not None
+
+    def slots(self, page: Page) -> list[tuple[int, list[int]]]:
+        """(item, numbers of its text tokens) of all items of a page that have text; none if the wrapper does not match."""
+        name = " ".join(page.keys)
+        if name not in self._known:
+            if len(self._known) >= 1000:
+                self._known.clear()
+            (layout, sizes), at, found = folded(page.keys), 0, []
+            path = _path(self.items, layout, self._fits)
+            for i, j in path or []:
+                n = sizes[j]
+                numbers = [k for k in range(at, at + n) if page.keys[k] == TEXT]
+                if numbers:
+                    found.append((i, numbers))
+                at += n
+            self._known[name] = found
+        return self._known[name]
 
     def template(self, page: Page) -> set[int]:
         """Numbers of the page's tokens that are template text; none if the wrapper does not match."""
-        if self._pattern is None or not self._template:
+        if not self._said:
             return set()
-        found = self._pattern.fullmatch("".join(self._char.get(k, UNKNOWN) for k in page.keys))
-        if not found:
-            return set()
-        said = {n: t for n, _, t, *_ in page.texts if n >= 0}
-        at = ((found.start(g), own) for g, own in enumerate(self._template, 1))
-        return {n for n, own in at if n >= 0 and " ".join(said[n].split()) == own}
+        texts = {n: t for n, _, t, *_ in page.texts if n >= 0}
+        return {n for i, numbers in self.slots(page) if i in self._said for n in numbers if digest(texts[n]) in self._said[i]}
 
 
 def host_of(url: Column) -> Column:
@@ -302,17 +417,129 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct layouts of a partition by host, and their pages."""
+    seen: Counter = Counter()
+    folded: dict[str, str] = {}
+
+    def out() -> pa.RecordBatch:
+        rows = [(*key, n) for key, n in seen.items()]
+        seen.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()),
+                                                                          strict=True)], names=["host", "layout", "n"])
+    size = 0
+    for batch in batches:
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
+            keys = Page(source.as_py()).keys
+            name = " ".join(keys)
+            if name not in folded:
+                if len(folded) >= 1000:
+                    folded.clear()
+                folded[name] = json.dumps(fold(keys))
+            if (host, folded[name]) not in seen:
+                size += 100 + len(folded[name])
+            seen[host, folded[name]] += 1
+            if size > 100 * HELD:
+                yield out()
+                size = 0
+    if seen:
+        yield out()
+
+
+def _widen(key, table):
+    rows = sorted(table.select(["nth", "layout"]).to_pylist(), key=lambda r: r["nth"])
+    stored = table.column("wrapper")[0].as_py()
+    wrapper = None if stored is None else Wrapper(stored, 0).items
+    for row in rows:
+        wrapper = widened(wrapper, [_tuples(x) for x in json.loads(row["layout"])])
+    return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": [json.dumps(wrapper)]})
+
+
+def _unmatched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    stored, own = None, Wrapper(None, 0)
+    for batch in batches:
+        keep = []
+        for wrapper, layout in zip(batch.column("wrapper"), batch.column("layout"), strict=True):
+            if wrapper.as_py() != stored:
+                stored = wrapper.as_py()
+                own = Wrapper(stored, 0)
+            keep.append(not own.matches([_tuples(x) for x in json.loads(layout.as_py())]))
+        yield batch.select(["host", "layout", "n"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _constants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each host and item of its wrapper: digests of the texts that all pages of this partition have there, and up to ``LEAST_PAGES`` pages."""
+    compiled: dict[str, Wrapper] = {}
+    found: dict[tuple[str, int], tuple[set[int], set[int]]] = {}
+    kinds = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+
+    def out() -> pa.RecordBatch:
+        rows = [(host, slot, sorted(said), sorted(pages)) for (host, slot), (said, pages) in found.items()]
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                          names=["host", "slot", "said", "seen"])
+    for batch in batches:
+        for host, source, wrapper in zip(batch.column("host").to_pylist(), batch.column("html"), batch.column("wrapper"), strict=True):
+            html, key = source.as_py(), wrapper.as_py()
+            if key not in compiled:
+                if len(compiled) >= 1000:
+                    compiled.clear()
+                compiled[key] = Wrapper(key, 0)
+            page = Page(html)
+            texts = {n: t for n, _, t, *_ in page.texts if n >= 0}
+            whole = digest(html)
+            for slot, numbers in compiled[key].slots(page):
+                at = found.get((host, slot))
+                if at is None:
+                    found[host, slot] = {digest(texts[n]) for n in numbers}, {whole}
+                    continue
+                if at[0]:
+                    at[0].intersection_update([digest(texts[n]) for n in numbers])
+                if len(at[1]) < LEAST_PAGES:
+                    at[1].add(whole)
+            if len(found) > HELD:
+                yield out()
+    if found:
+        yield out()
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) to (host, wrapper, pages): one row per host."""
-    first = Window.partitionBy("host").orderBy(F.xxhash64("page_id", "url"), "page_id", "url", "html")
-    picked = (pages.where("html is not null").select(host_of(F.col("url")).alias("host"), "page_id", "url", "html")
-              .withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_PAGES))
-    kind = "host string, wrapper string, pages int"
-
-    def run(key, table):
-        own = list(dict.fromkeys(v for _, v in sorted(zip(table.column("nth").to_pylist(), table.column("html").to_pylist(), strict=True))))
-        return pa.table({"host": [key[0].as_py()], "wrapper": [infer(own)], "pages": pa.array([len(own)], pa.int32())})
-    return picked.groupBy("host").applyInArrow(run, kind)
+    rows = pages.where("html is not null").select(host_of(F.col("url")).alias("host"), "html")
+    waiting = cut(rows.mapInArrow(_layouts, "host string, layout string, n long").groupBy("host", "layout").agg(F.sum("n").alias("n")), "layouts")
+    sizes = waiting.groupBy("host").agg(F.sum("n").cast("int").alias("pages"))
+    first = Window.partitionBy("host").orderBy(F.desc("n"), "layout")
+    wrappers = None
+    for _ in range(ROUNDS):
+        picked = waiting.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= ROUND_LAYOUTS)
+        picked = (picked.withColumn("wrapper", F.lit(None).cast("string")) if wrappers is None else picked.join(wrappers, "host"))
+        wider = picked.groupBy("host").applyInArrow(_widen, "host string, wrapper string")
+        if wrappers is not None:
+            wider = wider.unionByName(wrappers.join(waiting.select("host").distinct(), "host", "left_anti"))
+        wrappers = cut(wider, "wrappers")
+        waiting = cut(waiting.join(wrappers, "host").mapInArrow(_unmatched, "host string, layout string, n long"), "unmatched")
+        if waiting.isEmpty():
+            break
+    left = waiting.agg(F.count("*").alias("layouts"), F.sum("n").alias("pages")).first()
+    if left["layouts"]:
+        logging.getLogger(__name__).warning("%d layouts of %d pages match no wrapper after %d rounds", left["layouts"], left["pages"], ROUNDS)
+    parts = cut(rows.join(wrappers, "host").select("host", "html", "wrapper")
+                .mapInArrow(_constants, "host string, slot int, said array<long>, seen array<long>"), "slots")
+    asked = parts.groupBy("host", "slot").agg(F.count("*").alias("parts"), F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("seen"))
+    said = (parts.select("host", "slot", F.explode("said").alias("said")).groupBy("host", "slot", "said").agg(F.count("*").alias("had"))
+            .join(asked, ["host", "slot"]).where((F.col("had") == F.col("parts")) & (F.col("seen") >= LEAST_PAGES))
+            .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "said"))).alias("said")))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for stored, texts in zip(batch.column("wrapper").to_pylist(), batch.column("said").to_pylist(), strict=True):
+                items = json.loads(stored)
+                for x in texts or []:
+                    items[x["slot"]][2] = [*(items[x["slot"]][2] or []), x["said"]]
+                out.append(json.dumps(items))
+            yield pa.record_batch([batch.column("host"), pa.array(out, pa.string()), batch.column("pages")], names=["host", "wrapper", "pages"])
+    return wrappers.join(said, "host", "left").join(sizes, "host").mapInArrow(fill, "host string, wrapper string, pages int")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

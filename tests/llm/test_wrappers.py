@@ -68,6 +68,13 @@ def test_text_of_one_page_is_no_template_text(spark):
     assert got[1] == "same\ntext 1 xxxxxxxxx\nonce" and got[20] == "other\ntext 20"
 
 
+def test_template_text_inside_articles(spark):
+    rows = [(k, f"http://a.example/{k}", f"<article><h1>Title {k}</h1>" + "".join(f"<p>part {j} of {k}</p>" for j in range(3 + k % 3))
+             + "<p>Sign up today</p><div class=zz>Our partner</div></article>") for k in range(7)]
+    got = {r.page_id: r.text for r in w.main_text(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got == {k: "\n".join([f"Title {k}", *[f"part {j} of {k}" for j in range(3 + k % 3)]]) for k in range(7)}
+
+
 def test_wrappers_match_what_was_aligned():
     rng = random.Random(1)
     for _ in range(60):

@@ -8,8 +8,8 @@ other lacks becomes an optional group; two different repeats are aligned inside.
 A last pass over all pages of the host keeps for each slot and each repeated group the texts that every page with it has there; if at
 least ``LEAST_PAGES`` different pages have it, those are template text, the rest is data.
 
-Extraction. Every page's layout is matched against its host's wrapper. The wrapper tells template text from data, template text is dropped
-unless it stands in the article itself. Among data, the article is told by its container: the ``article`` elements, else ``main``, else
+Extraction. Every page's layout is matched against its host's wrapper. The wrapper tells template text from data, in the article and
+around it; template text is dropped. Among data, the article is told by its container: the ``article`` elements, else ``main``, else
 the body; menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden parts are left out by
 their elements, roles and class words. Where template text would be more than half of an article the containers decide alone: its
 host's pages are copies.
@@ -166,12 +166,13 @@ class Page:
         if not any(t[0] >= 0 for t in inside):  # a class word of something around the article
             inside = [t for t in self.texts if t[3] and not t[5]]
         best = max((t[3] for t in inside), default=0)
+        inside = [t for t in inside if t[3] == best]
         fixed = sum(len(t[2]) for t in inside if t[0] in template)
         if 2 * fixed > sum(len(t[2]) for t in inside):  # copies of one page: what they share is their text
             template = set()
         out: dict[int, list[str]] = {}
-        for number, block, text, level, _, _ in inside:
-            if level == best and not (level == 0 and number in template):
+        for number, block, text, *_ in inside:
+            if number not in template:
                 out.setdefault(block, []).append(entities.unescape(text) if "&" in text else text)
         lines = (" ".join("".join(parts).split()) for parts in out.values())
         return [line for line in lines if line]

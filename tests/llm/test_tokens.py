@@ -63,6 +63,21 @@ def test_token_file(spark, docs, tmp_path, monkeypatch):
     assert got == want
 
 
+def test_rows_of_one_doc_id_go_to_many_tasks(spark, docs, tmp_path):
+    out = str(tmp_path / "file")
+    rows = [(key, f"{n % 97} text {n}") for key in (None, 7) for n in range(600)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_file(docs(rows).repartition(3), out, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per_shard = [r.n for r in spark.read.parquet(out).groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()]
+    assert len(per_shard) == 4 and 3 * max(per_shard) < 2 * sum(per_shard)
+    encode = library("byte_bpe_50k.json")
+    want = [len(encode(t)) + 1 for _, t in sorted(rows, key=lambda r: (r[0] or 0, r[1]))]
+    assert [r.n_tokens for r in sorted(token_files.read_token_file(spark, out).collect(), key=lambda r: r.start)] == want
+
+
 def test_empty_token_file(spark, docs, tmp_path):
     out = str(tmp_path / "f")
     token_files.write_token_file(docs([]), out, public_tokenizers.path("byte_bpe_50k.json"), 2)

@@ -29,6 +29,7 @@ from webtab.llm import elias_fano
 from webtab.llm.encoder import encoder, texts_of
 
 BLOCK_IDS = 1 << 20
+RANGED = 256  # characters of a text that tell its range among rows of one doc_id
 BLOCK = ("shard int, block int, shard_start long, n_ids long, n_null long, first_id long, width int, "
          "ids binary, ends binary, doc_ids binary")
 ENTRY = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -80,7 +81,8 @@ def write_token_file(docs: DataFrame, out: str, tokenizer: str, end_id: int,
                      id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every document, append ``end_id`` and write the blocks to the folder ``out``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    (rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
+    # the head of a text is in the order of the texts and keeps the bounds small
+    (rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, RANGED).asc_nulls_first())
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
      .mapInArrow(_blocks(tokenizer, end_id), BLOCK).write.parquet(out))
 

@@ -7,8 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from webtab.operators import graph
+from webtab.operators import graph, layout
 from webtab.operators.ranks import grouped_row_number
+from webtab.session import cut
 from webtab.sources.pages import seed_urls
 
 
@@ -114,7 +115,7 @@ def test_first_items(spark):
 def chain_rows(spark, edges, seeds, hops=None):
     e = spark.createDataFrame(edges, "src string, dst string")
     s = spark.createDataFrame([(x, x) for x in seeds], "seed string, url string")
-    return sorted(tuple(r) for r in graph.follow_chain(e, s, hops).collect())
+    return sorted(tuple(r) for r in graph.follow_chain(e, s, hops).select("seed", "url", "hop").collect())
 
 
 def test_chains(spark):
@@ -131,6 +132,111 @@ def test_chain_that_repeats(spark):
         ("a", "a", 0), ("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("self", "self", 0)]
 
 
+def chains_by_hand(edges, seeds, hops=None):
+    step, out = {}, []
+    for a, b in sorted(edges, reverse=True):
+        step[a] = b
+    for seed, note in seeds:
+        url, hop, before, seen = seed, 0, None, set()
+        while url is not None and url not in seen and (hops is None or hop <= hops):
+            out.append((seed, url, hop, before, note))
+            seen.add(url)
+            url, hop, before = step.get(url), hop + 1, url
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("grouped", [1 << 16, 9])
+def test_random_chains_that_merge_repeat_and_change_groups(spark, monkeypatch, grouped):
+    """Pages of several folders; a link mostly leads to the next number, sometimes anywhere."""
+    monkeypatch.setattr(graph, "GROUPED", grouped)
+    rng = random.Random(grouped)
+    names = [f"https://h/{d}/page-{k}.html" for d in "abc" for k in (*range(40), *range(4090, 4110))] + ["bare", "https://h/x/"]
+    edges = [(a, b if rng.random() < 0.9 else rng.choice(names)) for a, b in zip(names, names[1:], strict=False) if rng.random() < 0.97]
+    seeds = [(n, f"of {n}") for n in ["https://h/a/page-0.html", "https://h/a/page-7.html", "https://h/c/page-4091.html", "bare", "nowhere",
+                                      *rng.sample(names, 6)]]
+    seeds = sorted(set(seeds))
+    e = spark.createDataFrame(edges + edges[:9], "src string, dst string").repartition(5)
+    s = spark.createDataFrame([(n, n, note) for n, note in seeds], "seed string, url string, note string")
+    for hops in (None, 13):
+        got = sorted((tuple(r) for r in graph.follow_chain(e, s, hops).collect()), key=repr)
+        assert got == chains_by_hand(edges, seeds, hops)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_level_moves_itself_and_not_the_links(spark, no_broadcast):
+    links = layout.Divided(spark, "links", "key")
+    links.append(spark.range(1000).selectExpr("concat('p', id % 100) AS key", "concat('p', id) AS dst"))
+    level = spark.range(30).selectExpr("concat('p', id) AS key", "id AS path")
+    joined = level.join(links.read(), "key")
+    # the only exchange is that of the level
+    assert plan_of(joined).count("Exchange hashpartitioning") == 1 and joined.count() == 300
+    assert "SelectedBucketsCount: " in plan_of(level.join(links.read(["p1"]), "key"))
+    assert links.read(["p1", "p2"]).count() == 20
+    files = links.files()
+    links.forget()
+    assert files.count() == 1000 and not spark.catalog.tableExists(links.name)
+
+
+def test_visited_pages_grow_by_level(spark, no_broadcast):
+    seen = layout.Divided(spark, "visited", "url", "depth")
+    for depth in range(3):
+        seen.append(spark.range(50).selectExpr(f"concat('u', id + {depth * 50}) AS url", f"{depth} AS depth"))
+    assert seen.read().count() == 150 and seen.read().filter("depth = 1").count() == 50
+    probe = spark.range(200).selectExpr("concat('u', id) AS url")
+    left = probe.join(seen.read(), "url", "left_anti")
+    assert left.count() == 50 and plan_of(left).count("Exchange hashpartitioning") == 1
+    seen.forget()
+
+
+def test_filter_drops_rows_before_they_are_moved(spark, no_broadcast):
+    known, probes = layout.AddressFilter(spark), spark.range(20_000).selectExpr("concat('https://h/', id) AS probe", "id")
+    assert known.add(spark.range(0, 20_000, 100).selectExpr("concat('https://h/', id) AS url"), "url") == 200
+    assert known.add(spark.range(50, 20_000, 1000).selectExpr("concat('https://h/', id) AS url"), "url") == 20
+    tested = known.tested(probes, "probe")
+    assert tested.columns == ["probe", "id", "doubtful"]
+    doubtful = {r.id for r in tested.filter("doubtful").collect()}
+    added = {*range(0, 20_000, 100), *range(50, 20_000, 1000)}
+    # every added address is doubtful, and next to no other
+    assert added <= doubtful and len(doubtful) < len(added) + 50
+    visited = spark.createDataFrame([(f"https://h/{k}",) for k in added], "url string")
+    new = graph.new_links(tested, visited)
+    assert {r.id for r in new.collect()} == set(range(20_000)) - added
+    # only what the filter lets through is exchanged
+    moved = plan_of(graph.new_links(cut(tested, "tested"), visited)).split("Exchange hashpartitioning(probe")
+    assert len(moved) == 2 and "Filter (isnotnull(doubtful" in moved[1].split("Exchange")[0]
+    assert layout.AddressFilter(spark).tested(probes, "probe").filter("doubtful").isEmpty()
+
+
+def test_hot_pages_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HOT_LINKS", 7)
+    edges = [("hub", f"n{k}", k) for k in range(60)] + [(f"n{k}", "hub", 0) for k in range(60)] + [(f"n{k}", f"n{k * 7 % 60}", 1) for k in range(60)]
+    for cap in (4, None):
+        want, order = walk_by_hand(edges, ["n3"], cap, 4)
+        got, got_order, _ = run(spark, edges * 2, ["n3"], cap, 4)
+        assert got == want and got_order == order
+
+
+def test_first_items_takes_whole_ranges(spark):
+    df = spark.range(3000).selectExpr("id * 7919 % 3000 AS k", "id").repartition(6)
+    for limit in (1, 20, 1500, 2999, 3000, 9000):
+        got = graph.first_items(df, [F.col("k")], limit)
+        assert sorted(r.k for r in got.collect()) == list(range(min(limit, 3000)))
+        assert "TakeOrdered" not in plan_of(got) and "GlobalLimit" not in plan_of(got)
+    same = spark.range(100).selectExpr("1 AS k", "id")
+    assert graph.first_items(same, [F.col("k")], 40).count() == 40
+
+
 def test_degrees(spark):
     e = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "a")], "src string, dst string")
     assert sorted(tuple(r) for r in graph.degrees(e).collect()) == [("a", 2, 1), ("b", 1, 1), ("c", 0, 1)]

@@ -36,23 +36,46 @@ def test_extraction_does_not_shuffle_or_repeat_the_parse(spark):
 def test_small_frontier_is_broadcast_and_edges_stay_in_place(spark):
     edges = cut(spark.range(1000).selectExpr("concat('n', id % 50) AS src", "concat('n', id % 37) AS dst", "id AS pos"),
                 "test-edges")
-    seen = []
+    seen, links = [], []
     original = graph.cut
 
     def watch(df, label):
         if label == "bfs-offer":
             seen.append(text(df))
+        if label == "bfs-links":
+            links.append(text(df))
         return original(df, label)
     graph.cut = watch
     try:
         graph.bfs(edges, seed_urls(spark, ["n1"]), 2, 2)
     finally:
         graph.cut = original
-    assert seen and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "WindowGroupLimit" in p for p in seen)
-    # the scan of the edges feeds the join directly: the first exchange above it comes after the join
-    for p in seen:
-        scan = p[:p.index("test-edges")]
-        assert scan.rindex("BroadcastHashJoin") > scan.rindex("Exchange hashpartitioning")
+    assert seen and all("SortMergeJoin" not in p and "WindowGroupLimit" in p for p in seen)
+    # a level that is small is sent to the links, of which only its own buckets are read; nothing is shuffled
+    assert links and all("BroadcastHashJoin" in p and "Exchange hashpartitioning" not in p and "PushedFilters: [In(key" in p or "EqualTo(key" in p
+                         for p in links)
+
+
+def test_a_large_level_moves_and_the_links_stay(spark, monkeypatch):
+    """With broadcasts off and no names pushed down, each level's one exchange is that of the level."""
+    edges = spark.range(3000).selectExpr("concat('n', id % 500) AS src", "concat('n', id * 7 % 491) AS dst", "id AS pos")
+    monkeypatch.setattr(graph, "PRUNED", 0)
+    plans, original = [], graph.cut
+
+    def watch(df, label):
+        if label == "bfs-links":
+            plans.append(text(df))
+        return original(df, label)
+    monkeypatch.setattr(graph, "cut", watch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nodes, _ = graph.bfs(edges, seed_urls(spark, ["n1"]), None, 3)
+        assert nodes.count() > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # neither the links nor (divided by the same address) the level are exchanged; the filter's broadcast is of fixed size
+    assert len(plans) == 3 and all("SortMergeJoin" in p and "Exchange hashpartitioning" not in p for p in plans)
 
 
 def test_a_deep_walk_reads_the_pages_twice(spark):

@@ -11,42 +11,54 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from webtab.operators.progress import PROGRESS, items_of, with_progress
 from webtab.operators.stages import Stage
-from webtab.plans.article_structure import crawl_structure
-from webtab.plans.articles import crawl_articles
-from webtab.plans.books import crawl_books
-from webtab.plans.books_structure import crawl_books_structure
+from webtab.plans.article_structure import walk_structure
+from webtab.plans.articles import walk_articles
+from webtab.plans.books import walk_books
+from webtab.plans.books_structure import walk_books_structure
 from webtab.session import build_session, exists, scratch_run
 from webtab.sources.pages import read_pages
 from webtab.sources.sinks import RunOutput, run_crawl
 
 # crawler name -> (plan, item type, whole-number arguments, text arguments)
 CRAWLERS: dict[str, tuple[Callable[..., DataFrame], str, set[str], set[str]]] = {
-    "books": (crawl_books, "BookItem", {"item_limit"}, set()),
-    "books_structure": (crawl_books_structure, "BookStructureItem",
+    "books": (walk_books, "BookItem", {"item_limit"}, set()),
+    "books_structure": (walk_books_structure, "BookStructureItem",
                         {"item_limit", "depth_limit"}, set()),
-    "wikipedia": (crawl_articles, "ArticleItem",
+    "wikipedia": (walk_articles, "ArticleItem",
                   {"item_limit", "max_depth", "max_links"}, {"seed"}),
-    "wiki_structure": (crawl_structure, "WikiStructureItem",
+    "wiki_structure": (walk_structure, "WikiStructureItem",
                        {"item_limit", "max_depth", "max_links", "strict_namespaces"}, {"seed"}),
 }
 
 
 def register(crawler: str, plan: Callable[..., DataFrame], item_type: str,
              numbers: tuple[str, ...] = (), texts: tuple[str, ...] = ()) -> None:
-    """Add a crawl of one's own: ``plan(pages, **arguments)`` gives items of ``item_type``."""
+    """Add a crawl of one's own: ``plan(pages, **arguments)`` gives items of ``item_type``, with the columns of
+    ``progress.with_progress`` or without."""
     CRAWLERS[crawler] = plan, item_type, {"item_limit", *numbers}, set(texts)
 
 
-def crawl(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFrame, str]:
-    """Items of a named crawl and their type; arguments may be text, an empty one means the default."""
+def walk(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFrame, str]:
+    """Items of a named crawl with their progress, and their type; arguments may be text, an empty one means the default."""
     plan, item_type, numbers, texts = CRAWLERS[crawler]
     unknown = set(arguments) - numbers - texts
     if unknown:
         raise ValueError(f"{crawler} takes no {', '.join(sorted(unknown))}")
     given = {k: v for k, v in arguments.items() if v != ""}
-    return plan(pages, **{k: int(v) if k in numbers else v for k, v in given.items()}), item_type
+    rows = plan(pages, **{k: int(v) if k in numbers else v for k, v in given.items()})
+    if "_progress" not in rows.columns:
+        rows = with_progress(rows, F.lit(None).cast(PROGRESS), [F.lit(0)])
+    return rows, item_type
+
+
+def crawl(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFrame, str]:
+    """Items of a named crawl and their type."""
+    rows, item_type = walk(crawler, pages, **arguments)
+    return items_of(rows), item_type
 
 
 def run_job(spark: SparkSession, crawler: str, pages_path: str, folder: str,
@@ -61,8 +73,8 @@ def run_job(spark: SparkSession, crawler: str, pages_path: str, folder: str,
     if export and mode == "errorifexists" and exists(spark, export):
         raise FileExistsError(export)
     with scratch_run(spark):
-        items, item_type = crawl(crawler, read_pages(spark, pages_path), **arguments)
-        return run_crawl(items, item_type, crawler, folder, started, stages, export, mode)
+        rows, item_type = walk(crawler, read_pages(spark, pages_path), **arguments)
+        return run_crawl(rows, item_type, crawler, folder, started, stages, export, mode)
 
 
 def main(argv: list[str] | None = None) -> RunOutput:

@@ -155,6 +155,22 @@ SELECT * FROM (SELECT page_id, {strip(decode("regexp_extract(html, '<title>(.*?)
     url, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS n_links FROM pages)
 WHERE judul <> '' AND url <> ''"""
 
+METRICS = f"""
+SELECT 'books' AS crawler, url, CAST(NULL AS VARCHAR) AS judul, CAST(NULL AS INTEGER) AS kedalaman, nomor AS nomor_halaman,
+    CAST(NULL AS INTEGER) AS jumlah_halaman, CAST(NULL AS INTEGER) AS jumlah_kata, CAST(NULL AS INTEGER) AS jumlah_kategori,
+    CAST(NULL AS INTEGER) AS jumlah_section, CAST(NULL AS INTEGER) AS jumlah_link_internal, CAST(NULL AS INTEGER) AS jumlah_link_eksternal
+FROM (SELECT DISTINCT {listing('p_partkey // 20 + 1')} AS url, CAST(p_partkey // 20 + 1 AS VARCHAR) AS nomor FROM part)
+UNION ALL SELECT 'books_structure', url, judul, kedalaman, nomor, total, NULL, NULL, NULL, NULL, NULL FROM (
+    WITH {TYPE_PAGES} SELECT {type_url('slug', 'i')} AS url, p_type AS judul, 1 AS kedalaman, CAST(i AS VARCHAR) AS nomor, np AS total FROM t
+    UNION ALL SELECT '{SHOP}/index.html', 'Home', 0, '1', CAST(ceil(sum(n) / 20.0) AS INTEGER) FROM k)
+UNION ALL SELECT 'wikipedia', url, judul, depth, NULL, NULL, jumlah_kata, 2, NULL, NULL, NULL FROM (
+    WITH {walk(CONTENT_EDGES, f"'{SEED}'", DOC_NODES)}, a AS (SELECT {ARTICLE_FIELDS} FROM documents)
+    SELECT a.url, judul, depth, jumlah_kata FROM a JOIN visited v ON v.url = a.url)
+UNION ALL SELECT 'wiki_structure', url, judul, depth, NULL, NULL, NULL, jumlah_kategori, jumlah_section, jumlah_link_internal,
+    jumlah_link_eksternal FROM (
+    WITH {walk(STRUCTURE_EDGES, f"'{SEED}'", DOC_NODES)}, a AS (SELECT {STRUCTURE_FIELDS} FROM documents)
+    SELECT a.*, depth FROM a JOIN visited v ON v.url = a.url)"""
+
 ORACLE: dict[str, str] = {
     "q_seed_pages": """
 SELECT page_id, url, 0 AS kedalaman, CAST(NULL AS VARCHAR) AS url_induk FROM pages
@@ -268,6 +284,15 @@ WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM
 WITH {walk(HUB_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM visited""",
     "q_bfs_limit": f"""
 WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth FROM visited ORDER BY visited.depth, ord LIMIT 20""",
+    "q_bfs_half": f"""
+WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth FROM (
+    SELECT url, depth, row_number() OVER (ORDER BY depth, ord) AS k, count(*) OVER () AS n FROM visited) WHERE k <= n // 2""",
+    "q_crawl_metrics": METRICS,
+    "q_crawl_totals": f"""
+SELECT crawler, count(*) AS pages, CAST(max(CASE WHEN crawler = 'books' THEN (SELECT count(*) FROM part) ELSE n END) AS BIGINT) AS items,
+    CAST(coalesce(sum(jumlah_kata), 0) AS BIGINT) AS words, CAST(coalesce(sum(jumlah_link_internal + jumlah_link_eksternal), 0) AS BIGINT) AS links,
+    CAST(coalesce(max(kedalaman), 0) AS BIGINT) AS deepest
+FROM (SELECT *, count(*) OVER (PARTITION BY crawler) AS n FROM ({METRICS})) GROUP BY crawler""",
     "q_graph_degrees": f"""
 WITH e AS ({LINK_ROWS}), x AS (SELECT src AS url, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e)
 SELECT url, CAST(sum(o) AS BIGINT) AS out_links, CAST(sum(i) AS BIGINT) AS in_links FROM x GROUP BY url""",
@@ -297,6 +322,12 @@ SELECT {odd('NULL')}, CASE WHEN p_partkey % 4 <> 0 THEN CASE WHEN p_size > 25 TH
     "q_sink_jsonl_roundtrip": f"""
 SELECT {odd("''")}, CASE WHEN p_partkey % 4 <> 0 THEN p_size > 25 END AS tersedia, p_name AS title,
     CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS n, p_partkey % 3 = 0 AS null_kept FROM part""",
+    "q_sink_ordered": f"""
+WITH {TYPE_PAGES}, x AS (
+    SELECT -1 AS hop, -1 AS pos, 'Home' AS nama, '{SHOP}/index.html' AS url
+    UNION ALL SELECT i - 1, pos, CASE WHEN i = 1 THEN p_type ELSE p_type || ' — Halaman ' || i END, {type_url('slug', 'i')}
+    FROM t JOIN (SELECT p_type AS name, row_number() OVER (ORDER BY p_type) - 1 AS pos FROM k) ON name = p_type)
+SELECT row_number() OVER (ORDER BY hop, pos, url) - 1 AS place, nama, url FROM x""",
     "q_item_stats": f"""
 WITH {TYPE_PAGES}, c AS (
     SELECT 'BookItem' AS item_type, count(*) AS n FROM ({DIRTY})
@@ -309,6 +340,9 @@ SELECT * FROM c UNION ALL SELECT 'Total item', CAST(sum(n) AS BIGINT) FROM c""",
 SELECT *, judul AS csv_judul FROM ({STREAM_ITEMS})""",
     "q_stream_extract": STREAM_ITEMS,
     "q_stream_dedup": "SELECT DISTINCT h AS href FROM (" + ANCHORS + "SELECT h FROM e)",
+    "q_stream_metrics": """
+SELECT 0 AS batch, count(*) AS items, CAST(sum(n) AS BIGINT) AS links, max(n) AS most_links
+FROM (SELECT len(regexp_extract_all(html, '<a href=')) AS n FROM pages)""",
     "q_stream_counts": """
 SELECT 'ArticleItem' AS item_type, count(*) AS n FROM (@@)
 UNION ALL SELECT 'WikiStructureItem', count(*) FROM pages""".replace("@@", STREAM_ITEMS),

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import bfs_pages, first_items, walk_order
+from webtab.operators.progress import figures, items_of, with_progress
 from webtab.operators.shred import shred
 from webtab.plans.articles import (DEFAULT_SEED, DOMAINS, LINK_PREFIX, LINKS_PER_PAGE, MAX_DEPTH,
                                    SEED_TEMPLATE, heading)
-from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, walked_items
 from webtab.schemas import WIKI_STRUCTURE
 from webtab.sources.pages import on_hosts, seed_from_template
 
@@ -136,11 +137,11 @@ def extract_structure(pages: DataFrame, strict_namespaces: bool = False,
                 "jumlah_kategori": F.size("kategori")}))
 
 
-def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int | None = None,
-                    max_depth: int = MAX_DEPTH, item_limit: int = ITEM_LIMIT,
-                    domains: list[str] | None = None, template: str = SEED_TEMPLATE,
-                    strict_namespaces: bool = False) -> DataFrame:
-    """Structure records reached from the seed, with referrer and followed links.
+def walk_structure(pages: DataFrame, seed: str | None = None, max_links: int | None = None,
+                   max_depth: int = MAX_DEPTH, item_limit: int = ITEM_LIMIT,
+                   domains: list[str] | None = None, template: str = SEED_TEMPLATE,
+                   strict_namespaces: bool = False) -> DataFrame:
+    """Structure records reached from the seed, with referrer, followed links and the progress figures of their page.
 
     Non-article pages count as visited but give no record and no links.
     """
@@ -165,4 +166,11 @@ def crawl_structure(pages: DataFrame, seed: str | None = None, max_links: int |
                 "kedalaman": F.col("depth"), "url_induk": F.col("referrer"),
                 "link_masuk_dari": F.col("referrer"),
                 "link_keluar": F.coalesce("link_keluar", F.array().cast("array<string>"))}))
-    return select_schema(first_items(rows, walk_order(), item_limit), WIKI_STRUCTURE)
+    of_page = figures(url=F.col("url"), **{c: F.col(c) for c in (
+        "judul", "kedalaman", "jumlah_section", "jumlah_link_internal", "jumlah_link_eksternal", "jumlah_kategori")})
+    return walked_items(with_progress(first_items(rows, walk_order(), item_limit), of_page, walk_order()), WIKI_STRUCTURE)
+
+
+def crawl_structure(pages: DataFrame, **arguments) -> DataFrame:
+    """The records of ``walk_structure``."""
+    return items_of(walk_structure(pages, **arguments))

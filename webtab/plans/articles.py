@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import bfs_pages, first_items, walk_order
+from webtab.operators.progress import figures, items_of, with_progress
 from webtab.operators.shred import shred
-from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, walked_items
 from webtab.schemas import ARTICLE
 from webtab.sources.pages import on_hosts, seed_from_template
 
@@ -96,10 +97,10 @@ def extract_articles(pages: DataFrame, keep: tuple[str, ...] = KEEP,
     return shred(pages, ARTICLE_PAGE, keep).select(*keep, *(columns or article_columns()))
 
 
-def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = MAX_DEPTH,
-                   max_links: int = LINKS_PER_PAGE, item_limit: int = ITEM_LIMIT,
-                   domains: list[str] | None = None, template: str = SEED_TEMPLATE) -> DataFrame:
-    """Article records reached from the seed, with their depth.
+def walk_articles(pages: DataFrame, seed: str | None = None, max_depth: int = MAX_DEPTH,
+                  max_links: int = LINKS_PER_PAGE, item_limit: int = ITEM_LIMIT,
+                  domains: list[str] | None = None, template: str = SEED_TEMPLATE) -> DataFrame:
+    """Article records reached from the seed, with their depth and the progress figures of their page.
 
     Non-article URLs are dropped before they count as visited. Repeated links
     and links with a fragment each take one of a page's slots.
@@ -113,4 +114,11 @@ def crawl_articles(pages: DataFrame, seed: str | None = None, max_depth: int = M
             F.substring_index(a, "#", 1).alias("dst"), a.alias("probe"))).alias("links")),
         seeds, max_links, max_depth)
     rows = first_copies(table, nodes, "url").withColumn("kedalaman", F.col("depth"))
-    return select_schema(first_items(rows, walk_order(), item_limit), ARTICLE)
+    of_page = figures(url=F.col("url"), judul=F.col("judul"), kedalaman=F.col("depth"), jumlah_kata=F.col("jumlah_kata"),
+                      jumlah_kategori=F.size("kategori"))
+    return walked_items(with_progress(first_items(rows, walk_order(), item_limit), of_page, walk_order()), ARTICLE)
+
+
+def crawl_articles(pages: DataFrame, **arguments) -> DataFrame:
+    """The records of ``walk_articles``."""
+    return items_of(walk_articles(pages, **arguments))

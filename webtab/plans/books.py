@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import first_items, follow_chain
+from webtab.operators.progress import PROGRESS, figures, items_of, with_progress
 from webtab.operators.shred import shred
-from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copy_parts, numbered, walked_items
 from webtab.schemas import BOOK
 from webtab.session import cut
 from webtab.sources.pages import on_hosts, seed_urls
@@ -72,9 +73,9 @@ def next_edges(listings: DataFrame) -> DataFrame:
             .select("src", F.col("a.href_abs").alias("dst")))
 
 
-def crawl_books(pages: DataFrame, start_urls: list[str] | None = None,
-                domains: list[str] | None = None, item_limit: int = 0) -> DataFrame:
-    """Records of all listing pages on the next-page chain from the start pages."""
+def walk_books(pages: DataFrame, start_urls: list[str] | None = None,
+               domains: list[str] | None = None, item_limit: int = 0) -> DataFrame:
+    """Records of all listing pages on the next-page chain from the start pages, and a row with the progress of each page."""
     start_urls, domains = start_urls or START_URLS, domains or DOMAINS
     # one parse; the walk and the records read different columns of the result
     listings = shred_listings(numbered(on_hosts(pages, domains)), KEEP_COPY)
@@ -89,6 +90,19 @@ def crawl_books(pages: DataFrame, start_urls: list[str] | None = None,
         F.lit(0).alias("seed"), "url")
     chain = (follow_chain(edges, seeds).groupBy(F.col("url").alias("page_url"))
              .agg(F.min("hop").alias("hop")))
-    rows = first_copies(table.filter(F.col("frag") > 0), chain, "page_url")
-    return select_schema(first_items(rows, [F.col("hop"), F.col("page_url"), F.col("frag")],
-                                     item_limit), BOOK)
+    rows = first_copy_parts(table, chain, "page_url", "frag")
+    order = [F.col("hop"), F.col("page_url"), F.col("frag")]
+    items = first_items(rows.filter(F.col("frag") > 0), order, item_limit)
+    visited = rows.filter(F.col("frag") == 0)
+    if item_limit:
+        # a walk that has its items goes to no further page
+        visited = visited.filter(F.col("hop") <= F.coalesce(items.select(F.max("hop")).scalar(), F.col("hop")))
+    none = F.lit(None).cast(PROGRESS)
+    of_page = figures(url=F.col("page_url"), nomor_halaman=sc.page_number(F.col("page_url")))
+    marked = with_progress(items, none, order).unionByName(with_progress(visited, of_page, order, F.lit(False)))
+    return walked_items(marked, BOOK)
+
+
+def crawl_books(pages: DataFrame, **arguments) -> DataFrame:
+    """The records of ``walk_books``."""
+    return items_of(walk_books(pages, **arguments))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from webtab.functions import scalars as sc
 from webtab.functions.selectors import Mark, Marks, first_or, non_blank
 from webtab.operators.graph import first_items, follow_chain
+from webtab.operators.progress import figures, items_of, with_progress
 from webtab.operators.shred import shred
-from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, select_schema
+from webtab.plans.common import KEEP, KEEP_COPY, first_copies, numbered, walked_items
 from webtab.schemas import BOOK_STRUCTURE
 from webtab.session import cut
 from webtab.sources.pages import on_hosts
@@ -101,14 +102,15 @@ def extract_pages(pages: DataFrame, keep: tuple[str, ...] = KEEP) -> DataFrame:
                     categories().alias("kategori"), next_url().alias("next_url")))
 
 
-def crawl_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
-                          domains: list[str] | None = None, depth_limit: int = DEPTH_LIMIT,
-                          item_limit: int = 0) -> DataFrame:
-    """Home, category and listing nodes with their place in the hierarchy.
+def walk_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
+                         domains: list[str] | None = None, depth_limit: int = DEPTH_LIMIT,
+                         item_limit: int = 0) -> DataFrame:
+    """Home, category and listing nodes with their place in the hierarchy and the progress figures of their page.
 
     A page reached from two categories belongs to the one that reaches it first.
     A category is one hop from home and each further listing page one more;
-    ``depth_limit`` counts those hops (0: no limit).
+    ``depth_limit`` counts those hops (0: no limit). What a listing page has from its category (name, totals)
+    and from the page before travels along the chain.
     """
     start_urls, domains = start_urls or START_URLS, domains or DOMAINS
     table = cut(extract_pages(numbered(on_hosts(pages, domains)), KEEP_COPY), "shop-pages")
@@ -119,45 +121,43 @@ def crawl_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
     entries = home.select(F.col("url").alias("home_url"), F.posexplode("kategori").alias("pos", "k"))
     chains = cut(entries.filter(~F.col("k.url").isin(start_urls))
                  .groupBy(F.col("k.url").alias("seed"))
-                 .agg(F.min(F.struct("pos", F.col("k.nama").alias("nama"), "home_url")).alias("first"))
+                 .agg(F.min(F.struct("pos", F.col("k.nama").alias("category"), "home_url")).alias("first"))
                  .select("seed", "first.*"), "shop-categories")
+    # totals come from page 1 of the chain
+    totals = first_copies(table.select("url", "page_id", "copy", F.col("jumlah_buku").alias("books"), F.col("jumlah_halaman").alias("pages")),
+                          chains.select(F.col("seed").alias("url")), "url").select(F.col("url").alias("seed"), "books", "pages")
     edges = table.select(F.col("url").alias("src"), "page_id", F.when(
         ~F.col("next_url").isin(start_urls), F.col("next_url")).alias("dst"))
-    reached = follow_chain(edges, chains.select("seed", F.col("seed").alias("url")),
-                           depth_limit - 1 if depth_limit else None)
-    owner = (reached.join(chains, "seed")
-             .groupBy("url").agg(F.min(F.struct("hop", "pos", "seed", "nama", "home_url")).alias("o"))
-             .select("url", "o.*"))
-    rows = cut(first_copies(table, owner, "url"), "shop-chain")
-
-    # totals come from page 1 of the chain, the parent is the page before
-    first_page = rows.filter(F.col("hop") == 0).select(
-        "seed", F.col("jumlah_buku").alias("jumlah_buku_1"),
-        F.col("jumlah_halaman").alias("jumlah_halaman_1"))
-    before = rows.select("seed", (F.col("hop") + 1).alias("hop"), F.col("url").alias("previous"))
+    seeds = chains.join(totals, "seed", "left").select("seed", F.col("seed").alias("url"), "pos", "category", "home_url", "books", "pages")
+    reached = follow_chain(edges, seeds, depth_limit - 1 if depth_limit else None)
+    owner = (reached.groupBy("url")
+             .agg(F.min(F.struct("hop", "pos", "seed", "category", "home_url", "books", "pages", "previous")).alias("o"))
+             .select("url", "o.*").drop("seed"))
+    rows = first_copies(table, cut(owner, "shop-chain"), "url")
+
     number = F.col("hop") + 1
     is_first = F.col("hop") == 0
     next_list = F.array_compact(F.array("next_url"))
-    listing = (rows.drop("jumlah_buku", "jumlah_halaman")
-               .join(first_page, "seed", "left").join(before, ["seed", "hop"], "left")
-               .select(
-                   F.when(is_first, "kategori").otherwise("listing").alias("tipe"),
-                   F.when(is_first, F.col("nama")).otherwise(
-                       F.format_string("%s — Halaman %d", "nama", number)).alias("nama"),
-                   "url", F.when(is_first, F.col("home_url")).otherwise(F.col("previous"))
-                   .alias("url_induk"),
-                   F.lit(1).alias("kedalaman"), F.col("jumlah_buku_1").alias("jumlah_buku"),
-                   F.col("jumlah_halaman_1").alias("jumlah_halaman"), number.alias("nomor_halaman"),
-                   "tag_navigasi",
-                   F.when(is_first & (F.col("jumlah_halaman_1") <= 1), F.array().cast("array<string>"))
-                   .otherwise(next_list).alias("link_anak"),
-                   "meta_html", "hop", "pos"))
+    listing = rows.select(
+        F.when(is_first, "kategori").otherwise("listing").alias("tipe"),
+        F.when(is_first, F.col("category")).otherwise(F.format_string("%s — Halaman %d", "category", number)).alias("nama"),
+        "url", F.when(is_first, F.col("home_url")).otherwise(F.col("previous")).alias("url_induk"),
+        F.lit(1).alias("kedalaman"), F.col("books").alias("jumlah_buku"), F.col("pages").alias("jumlah_halaman"),
+        number.alias("nomor_halaman"), "tag_navigasi",
+        F.when(is_first & (F.col("pages") <= 1), F.array().cast("array<string>")).otherwise(next_list).alias("link_anak"),
+        "meta_html", "hop", "pos", "category")
     top = home.select(
         F.lit("home").alias("tipe"), F.lit("Home").alias("nama"), "url",
         F.lit(None).cast("string").alias("url_induk"), F.lit(0).alias("kedalaman"),
         "jumlah_buku", "jumlah_halaman", F.lit(1).alias("nomor_halaman"), "tag_navigasi",
         F.transform("kategori", lambda k: k["url"]).alias("link_anak"), "meta_html",
-        F.lit(-1).alias("hop"), F.lit(-1).alias("pos"))
-    items = first_items(top.unionByName(listing), [F.col("hop"), F.col("pos"), F.col("url")],
-                        item_limit)
-    return select_schema(items, BOOK_STRUCTURE)
+        F.lit(-1).alias("hop"), F.lit(-1).alias("pos"), F.lit("Home").alias("category"))
+    order = [F.col("hop"), F.col("pos"), F.col("url")]
+    items = first_items(top.unionByName(listing), order, item_limit)
+    of_page = figures(judul=F.col("category"), **{c: F.col(c) for c in ("url", "kedalaman", "nomor_halaman", "jumlah_halaman")})
+    return walked_items(with_progress(items, of_page, order), BOOK_STRUCTURE)
+
+
+def crawl_books_structure(pages: DataFrame, **arguments) -> DataFrame:
+    """The records of ``walk_books_structure``."""
+    return items_of(walk_books_structure(pages, **arguments))

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webtab.operators.progress import WALKED
 
-def select_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of a record type in their fixed order and types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+def walked_items(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a record type and those that a walk adds."""
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *WALKED)
 
 
 KEEP = ("page_id", "url")
@@ -17,14 +19,24 @@ KEEP_COPY = ("page_id", "url", "copy")
 
 
 def numbered(pages: DataFrame) -> DataFrame:
-    """Tell exact copies of a page row apart. Only meaningful once written (``cut``)."""
-    return pages.withColumn("copy", F.monotonically_increasing_id())
+    """Tell copies of a page apart by what is in them, so that every scan tells them apart alike."""
+    return pages.withColumn("copy", F.xxhash64("html"))
 
 
 def first_copies(records: DataFrame, walked: DataFrame, key: str) -> DataFrame:
     """Join walked pages to their records (of ``numbered`` pages); of several
     copies of a page the one with the smallest ``page_id`` counts."""
+    found = records.join(walked.select(key), key)
+    others = [F.col(c) for c in records.columns if c != key]
+    # a task passes on one copy of a page
+    chosen = found.groupBy(key).agg(F.min_by(F.struct(*others), F.struct("page_id", "copy")).alias("c"))
+    return chosen.select(key, "c.*").drop("copy").join(walked, key)
+
+
+def first_copy_parts(records: DataFrame, walked: DataFrame, key: str, part: str) -> DataFrame:
+    """The same for pages that are several records each, told apart by ``part``."""
     found = records.select(key, "page_id", "copy").join(walked.select(key), key)
     chosen = (found.groupBy(key).agg(F.min(F.struct("page_id", "copy")).alias("c"))
-              .select(key, "c.copy"))
-    return records.join(chosen, [key, "copy"]).drop("copy").join(walked, key)
+              .select(key, "c.page_id", "c.copy"))
+    # equal rows of the page table have equal copies
+    return records.join(chosen, [key, "page_id", "copy"]).dropDuplicates([key, part]).drop("copy").join(walked, key)

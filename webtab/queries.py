@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webtab import jobs
 from webtab.functions import scalars as sc
-from webtab.operators import graph, stages
+from webtab.operators import graph, progress, stages
 from webtab.plans import article_structure, articles, books, books_structure, generic
-from webtab.session import scratch_path
+from webtab.session import cut, scratch_path
 from webtab.sources import pages as src
 from webtab.sources import render, sinks
 from webtab.streaming import stream
@@ -150,6 +152,30 @@ def q_wiki_structure_crawl(spark, d):
     return plain(article_structure.crawl_structure(_articles(spark, d), seed=SEED, item_limit=0))
 
 
+CRAWLS = {"books": (_listings, {}), "books_structure": (_categories, {"depth_limit": 0}),
+          "wikipedia": (_articles, {"seed": SEED, "item_limit": 0}), "wiki_structure": (_articles, {"seed": SEED, "item_limit": 0})}
+
+
+def q_crawl_metrics(spark, d):
+    """The progress lines of the four crawls, from the tables that their items were written to."""
+    def lines(crawler: str) -> DataFrame:
+        pages, arguments = CRAWLS[crawler]
+        rows, _ = jobs.walk(crawler, pages(spark, d), **arguments)
+        return progress.progress_lines(cut(rows, "walked")).withColumn("crawler", F.lit(crawler))
+    return reduce(DataFrame.unionByName, map(lines, CRAWLS))
+
+
+def q_crawl_totals(spark, d):
+    """The totals that are counted while the items of a crawl are written."""
+    def totals(crawler: str) -> DataFrame:
+        pages, arguments = CRAWLS[crawler]
+        counted, told = progress.observed(jobs.walk(crawler, pages(spark, d), **arguments)[0], crawler)
+        cut(counted, "walked")
+        numbers = told()
+        return spark.range(1).select(F.lit(crawler).alias("crawler"), *[F.lit(numbers[k]).cast("long").alias(k) for k in progress.TOTALS])
+    return reduce(DataFrame.unionByName, map(totals, CRAWLS))
+
+
 # ---- graph --------------------------------------------------------------------------
 def _walk(spark, d):
     edges = render.supplier_part_links(table(spark, d, "lineitem"))
@@ -182,6 +208,13 @@ def q_bfs_limit(spark, d):
     return graph.first_items(_walk(spark, d), graph.walk_order(), 20).select("url", "depth")
 
 
+def q_bfs_half(spark, d):
+    """The first half of all pages that the whole walk reaches."""
+    edges = render.supplier_part_links(table(spark, d, "lineitem"))
+    nodes, _ = graph.bfs(edges, src.seed_urls(spark, ["s0"]), max_links=None, max_depth=3)
+    return graph.first_items(nodes, graph.walk_order(), nodes.count() // 2).select("url", "depth")
+
+
 def q_graph_degrees(spark, d):
     pairs = table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
     return graph.degrees(render.supplier_part_links(pairs), unique=True)
@@ -267,6 +300,15 @@ def q_sink_jsonl_roundtrip(spark, d):
     return plain(back.select("r.*", "null_kept"))
 
 
+def q_sink_ordered(spark, d):
+    """A crawl written in walk order: rows in the order of the files and lines, with their place in the whole."""
+    rows, _ = jobs.walk("books_structure", _categories(spark, d), depth_limit=0)
+    path = scratch_path(spark, "ordered")
+    sinks.write_jsonl(progress.items_of(cut(rows, "walked"), ordered=True), path)
+    lines = sinks.numbered_lines(spark, path)
+    return lines.select("place", F.get_json_object("value", "$.nama").alias("nama"), F.get_json_object("value", "$.url").alias("url"))
+
+
 def q_item_stats(spark, d):
     wiki = _articles(spark, d)
     # structure items are one per page and nothing is required of them: their number needs no parse
@@ -310,6 +352,14 @@ def q_stream_chain(spark, d):
     return lines.drop("batch").join(cells, "page_id")
 
 
+def q_stream_metrics(spark, d):
+    """What was observed of each micro-batch while its items were written."""
+    out = scratch_path(spark, "stream-metrics")
+    stream.stream_items(_page_stream(spark, d), generic.page_items, "ArticleItem", out, scratch_path(spark, "stream-state"),
+                        measures={"links": F.sum("n_links"), "most_links": F.max("n_links")}).awaitTermination()
+    return spark.read.parquet(f"{out}/metrics")
+
+
 def q_stream_counts(spark, d):
     brief = stages.valid_items(stages.clean(generic.page_items(_page_stream(spark, d))), "ArticleItem")
     full = stages.valid_items(stages.clean(article_structure.extract_structure(_page_stream(spark, d))), "WikiStructureItem")
@@ -350,6 +400,9 @@ QUERIES: dict[str, Query] = {
     "q_bfs_full": q_bfs_full,
     "q_bfs_hub": q_bfs_hub,
     "q_bfs_limit": q_bfs_limit,
+    "q_bfs_half": q_bfs_half,
+    "q_crawl_metrics": q_crawl_metrics,
+    "q_crawl_totals": q_crawl_totals,
     "q_graph_degrees": q_graph_degrees,
     "q_clean_strip": q_clean_strip,
     "q_regex_numbers": q_regex_numbers,
@@ -357,9 +410,11 @@ QUERIES: dict[str, Query] = {
     "q_reject_report": q_reject_report,
     "q_sink_csv_roundtrip": q_sink_csv_roundtrip,
     "q_sink_jsonl_roundtrip": q_sink_jsonl_roundtrip,
+    "q_sink_ordered": q_sink_ordered,
     "q_item_stats": q_item_stats,
     "q_stream_extract": q_stream_extract,
     "q_stream_dedup": q_stream_dedup,
     "q_stream_chain": q_stream_chain,
+    "q_stream_metrics": q_stream_metrics,
     "q_stream_counts": q_stream_counts,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,19 +23,24 @@ def _start(stream: DataFrame, checkpoint: str, mode: str,
 def stream_items(pages: DataFrame, extract: Callable[[DataFrame], DataFrame], item_type: str,
                  folder: str, checkpoint: str, once: bool = True, stages: dict[int, Stage] | None = None,
                  files: tuple[str, ...] = (), on_start: Callable[[int], None] | None = None,
-                 on_end: Callable[[int], None] | None = None) -> StreamingQuery:
+                 on_end: Callable[[int], None] | None = None, measures: dict[str, Column] | None = None) -> StreamingQuery:
     """Extract, run the stages (by default cleaning) and validate; write ``folder/items``,
-    ``folder/rejected`` and ``folder/counts``, and ``folder/csv`` or ``folder/jsonl`` if ``files`` names them.
+    ``folder/rejected``, ``folder/counts`` and ``folder/metrics``, and ``folder/csv`` or ``folder/jsonl`` if ``files`` names them.
 
-    A repeated micro-batch overwrites its own subfolders, so each page gives its
+    The metrics of a micro-batch, the number of extracted rows and the aggregates ``measures``, are observed while
+    its items are written; a ``progress.BatchTotals`` listener gets the same ones. A repeated micro-batch overwrites its own subfolders, so each page gives its
     items exactly once. ``on_start`` and ``on_end`` are called around each batch.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
         if on_start:
             on_start(batch_id)
-        batch = batch.persist()        # several outputs, one parse
+        seen = Observation()
+        batch = batch.observe(seen, *measured).persist()        # several outputs, one parse
         valid, own = valid_items(batch, item_type), f"batch={batch_id}"
         valid.write.mode("overwrite").parquet(f"{folder}/items/{own}")
+        names, values = zip(*seen.get.items(), strict=True)
+        (batch.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in zip(names, values, strict=True)])
+         .write.mode("overwrite").parquet(f"{folder}/metrics/{own}"))
         for kind in files:
             write_items(valid, kind, f"{folder}/{kind}/{own}", "overwrite")
         rejected_items(batch, item_type).write.mode("overwrite").parquet(f"{folder}/rejected/{own}")
@@ -45,7 +50,8 @@ def stream_items(pages: DataFrame, extract: Callable[[DataFrame], DataFrame], it
             on_end(batch_id)
 
     chain = {100: clean} if stages is None else stages
-    return _start(apply_stages(extract(pages), chain), checkpoint, "append", sink, once)
+    measured = [F.count(F.lit(1)).alias("items"), *[c.alias(name) for name, c in (measures or {}).items()]]
+    return _start(apply_stages(extract(pages), chain).observe("items", *measured), checkpoint, "append", sink, once)
 
 
 def first_visits(stream: DataFrame, key: str = "url", event_time: str | None = None,

@@ -4,7 +4,7 @@ For n values up to u the lower ``l = floor(log2(u / n))`` bits of each value
 are stored as they are and the upper parts in unary: value i sets bit
 ``(v >> l) + i``. That is at most ``2 + log2(u / n)`` bits per value.
 ``select`` finds the i-th set bit from one sampled position in every
-``SAMPLE``, so a single value is read without decoding the rest.
+``SAMPLE``, so a single value, or a stretch of them, is read without decoding the rest.
 
 Layout, little-endian: n (8 bytes), l (1), length of the low part (4), length
 of the high part (4), low part, high part, sampled positions (4 bytes each).
@@ -54,8 +54,8 @@ class Sequence:
         part = int.from_bytes(self._low[start >> 3:(end + 7) >> 3].tobytes(), "little")
         return (part >> (start & 7)) & ((1 << self.low_bits) - 1)
 
-    def select(self, i: int) -> int:
-        """Value number ``i``."""
+    def _place(self, i: int) -> int:
+        """Place of set bit number ``i`` of the high part."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         place, left = int(self._marks[i // SAMPLE]), i % SAMPLE
@@ -69,7 +69,33 @@ class Sequence:
         k = int(np.searchsorted(ones, left, "right"))
         inside = left - (int(ones[k - 1]) if k else 0)
         bit = int(np.flatnonzero(np.unpackbits(self._high[byte + k:byte + k + 1], bitorder="little"))[inside])
-        return (((byte + k) * 8 + bit - i) << self.low_bits) | self._lower(i)
+        return (byte + k) * 8 + bit
+
+    def select(self, i: int) -> int:
+        """Value number ``i``."""
+        return ((self._place(i) - i) << self.low_bits) | self._lower(i)
+
+    def between(self, a: int, b: int) -> np.ndarray:
+        """Values number ``a`` to ``b - 1``: select finds both ends, and only what lies between them is decoded."""
+        if a >= b:
+            return np.zeros(0, np.int64)
+        first, last = self._place(a) >> 3, self._place(b - 1) >> 3
+        places = np.flatnonzero(np.unpackbits(self._high[first:last + 1], bitorder="little")) + first * 8
+        skipped = int(np.searchsorted(places, self._place(a)))
+        out = (places[skipped:skipped + b - a] - np.arange(a, b)).astype(np.int64) << self.low_bits
+        if self.low_bits:
+            start = a * self.low_bits
+            bits = np.unpackbits(self._low[start >> 3:(b * self.low_bits + 7) >> 3], bitorder="little")[start & 7:]
+            out |= (bits[:(b - a) * self.low_bits].reshape(b - a, self.low_bits).astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
+        return out
+
+    def rank(self, value: int) -> int:
+        """How many values are smaller: a binary search by select."""
+        a, b = 0, self.n
+        while a < b:
+            m = (a + b) // 2
+            a, b = (m + 1, b) if self.select(m) < value else (a, m)
+        return a
 
     def all(self) -> np.ndarray:
         """All values, as 64-bit integers."""

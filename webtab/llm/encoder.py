@@ -16,7 +16,7 @@ from itertools import islice
 
 import numpy as np
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 LONGEST_CACHED = 64
 LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 WORD_AND_MARKS = re.compile(LETTERS.pattern.join("()") + r"([!-&(-/:-@\[-`{-~]+)")
@@ -30,42 +30,23 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-def by_byte_words(text: str) -> list[str] | None:
-    """Cuts before single spaces and around single line ends (a space belongs to the word after it).
+class _Words(dict):
+    """Ids of words, each as it stands after ``before``, a space or nothing.
 
-    None if white space follows white space: such runs are split by rules of their own.
+    A word with marks after its letters is put together from both: they are never merged. ``marks`` has those.
     """
-    if TWO_SPACES.search(text):
-        return None
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        words = line.split(" ")
-        if words[0]:
-            out.append(words[0])
-        out.extend([" " + w for w in words[1:]])
-    return out
-
-
-def by_plain_words(text: str) -> list[str]:
-    """Cuts at spaces and line ends, for vocabularies that drop white space."""
-    return text.replace("\n", " ").split(" ")
-
-
-class _Words(dict):
-    """Ids of words. A word with marks after its letters is put together from both: they are never merged."""
 
-    def __init__(self, encode, lower: bool) -> None:
+    def __init__(self, encode, lower: bool, kind: str, before: str = "", marks: _Words | None = None) -> None:
         super().__init__()
-        self._encode, self._lower = encode, lower
+        self._encode, self._lower, self._kind, self._before = encode, lower, kind, before
+        self._marks = self if marks is None else marks
 
     def __missing__(self, word: str) -> bytes:
         if len(word) > LONGEST_CACHED:
             return self._look_up(word)
         parts = WORD_AND_MARKS.fullmatch(word)
         if parts:
-            ids = self[parts[1]] + self[parts[2]]
+            ids = self[parts[1]] + self._marks[parts[2]]
         elif self._lower and word.isascii() and word != word.lower():
             ids = self[word.lower()]
         else:
@@ -77,13 +58,13 @@ class _Words(dict):
         return ids
 
     def _look_up(self, word: str) -> bytes:
-        return np.asarray(self._encode(word), dtype="<u4").tobytes()
+        return np.asarray(self._encode(self._before + word), self._kind).tobytes()
 
 
 class Encoder:
-    """``ids(text)`` gives the token ids of a whole text, little-endian, four bytes each."""
+    """``ids(text)`` gives the token ids of a whole text, little-endian, ``width`` bytes each (4, or 2 for vocabularies that fit)."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, width: int = 4) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
@@ -103,14 +84,37 @@ class Encoder:
             mapped = "".join(map(letter.__getitem__, (word.strip().lower() if lower else word).encode()))
             return [t.id for t in model.tokenize(mapped)]
 
-        self._words = _Words(of_word, lower)
-        self._cut = by_byte_words if kind == "ByteLevel" and plain else by_plain_words if _drops_space(setup) else None
+        self._kind = f"<u{width}"
+        self._words = _Words(of_word, lower, self._kind)
+        # a space belongs to the word after it; such words are looked up by the bare word
+        self._spaced = _Words(of_word, lower, self._kind, " ", self._words)
+        self._pieces = self._byte_words if kind == "ByteLevel" and plain else self._plain_words if _drops_space(setup) else None
 
     def ids(self, text: str) -> bytes:
-        words = self._cut(text) if self._cut else None
-        if words is None:
-            return np.asarray(self._encode(text), dtype="<u4").tobytes()
-        return b"".join(map(self._words.__getitem__, words))
+        found = self._pieces(text) if self._pieces else None
+        return np.asarray(self._encode(text), self._kind).tobytes() if found is None else found
+
+    def _byte_words(self, text: str) -> bytes | None:
+        """Cuts before single spaces and around single line ends.
+
+        None if white space follows white space: such runs are split by rules of their own.
+        """
+        if TWO_SPACES.search(text):
+            return None
+        out: list[bytes] = []
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append(self._words["\n"])
+            words = line.split(" ")
+            if words[0]:
+                out.append(self._words[words[0]])
+            del words[0]
+            out.extend(map(self._spaced.__getitem__, words))
+        return b"".join(out)
+
+    def _plain_words(self, text: str) -> bytes:
+        """Cuts at spaces and line ends, for vocabularies that drop white space."""
+        return b"".join(map(self._words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _drops_space(setup: dict) -> bool:
@@ -118,16 +122,16 @@ def _drops_space(setup: dict) -> bool:
     return first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, width: int = 4) -> Encoder:
     """The worker's encoder for a vocabulary file, which every worker must be able to read at ``path``.
 
     It is kept beside the library's module, which outlives a task (this module's code comes with each task).
     """
     import tokenizers
     kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    if (path, width) not in kept:
+        kept[path, width] = Encoder(path, width)
+    return kept[path, width]
 
 
 def texts_of(column) -> Iterator[str]:

@@ -7,16 +7,21 @@ Links and visited pages are kept divided by address (``layout.Divided``), so a l
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtab.operators.layout import AddressFilter, Divided
 from webtab.session import cut
 
+# the code of the tasks travels with them
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HOT_LINKS = 100_000     # a page with more links is divided into pieces of about so many
 PRUNED = 200            # levels of at most so many pages name them, so that only their parts of the links are read
 GROUPED = 65_536        # pages of a chain that are followed in one group

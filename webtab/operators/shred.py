@@ -137,6 +137,13 @@ class _Nodes:
         self.texts: list[tuple] = []
 
 
+def page_nodes(page: str, url: str, rules) -> list[list]:
+    """The marked elements of one page, fields as in ``ELEMENT``."""
+    out = _Nodes()
+    _walk(page, url, rules, out)
+    return out.els
+
+
 def _walk(page: str, url: str, rules, out: _Nodes) -> str:
     """Append the marked nodes of one page to ``out``; return its base URL."""
     by_tag, any_tag, shown, own_text, first_text, deep_text, kept_attrs, resolved = rules

@@ -287,6 +287,21 @@ WITH {walk(LINK_EDGES, "'s0'", None)} SELECT url, depth FROM visited ORDER BY vi
     "q_bfs_half": f"""
 WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth FROM (
     SELECT url, depth, row_number() OVER (ORDER BY depth, ord) AS k, count(*) OVER () AS n FROM visited) WHERE k <= n // 2""",
+    "q_udtf_pages": ANCHORS + """
+, hs AS (SELECT page_id, regexp_extract_all(html, '<h[123]>[^<]*') AS xs FROM pages),
+x AS (SELECT page_id, unnest(xs) AS x, generate_subscripts(xs, 1) AS k FROM hs)
+SELECT page_id, 'link' AS kind, CAST(k - 1 AS INTEGER) AS pos, h AS value, label FROM e
+UNION ALL SELECT page_id, x[2:3], CAST(k - 1 AS INTEGER), """ + strip(decode("x[5:]")) + """, NULL FROM x""",
+    "q_job_run": f"""
+WITH {walk(CONTENT_EDGES, f"'{SEED}'", DOC_NODES, cap=2)}
+SELECT url, 'Doc ' || replace(url, '{WIKI}/wiki/Doc_', '') AS judul, CAST(depth AS INTEGER) AS kedalaman FROM visited""",
+    "q_run_summary": f"""
+WITH c AS (SELECT count(*) AS n FROM ({DIRTY}) WHERE coalesce(judul, '') <> '' AND coalesce(harga, '') <> '')
+SELECT item_type, n, 'books' AS crawler, '2024-01-02 03:04:05' AS started, '2024-01-02 03:05:35' AS ended, CAST(90 AS DOUBLE) AS seconds,
+    '20240102_030405' AS stamp, 'output/books_20240102_030405.csv' AS path FROM c, (VALUES ('BookItem'), ('Total item')) t(item_type)""",
+    "q_loose_lists": """
+SELECT p_partkey, CAST(CASE p_partkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 END AS INTEGER) AS n,
+    CASE p_partkey % 3 WHEN 0 THEN p_type || ' | ' || p_brand WHEN 1 THEN p_name END AS links FROM part""",
     "q_crawl_metrics": METRICS,
     "q_crawl_totals": f"""
 SELECT crawler, count(*) AS pages, CAST(max(CASE WHEN crawler = 'books' THEN (SELECT count(*) FROM part) ELSE n END) AS BIGINT) AS items,
@@ -340,6 +355,17 @@ SELECT * FROM c UNION ALL SELECT 'Total item', CAST(sum(n) AS BIGINT) FROM c""",
 SELECT *, judul AS csv_judul FROM ({STREAM_ITEMS})""",
     "q_stream_extract": STREAM_ITEMS,
     "q_stream_dedup": "SELECT DISTINCT h AS href FROM (" + ANCHORS + "SELECT h FROM e)",
+    "q_stream_walk": f"""
+WITH {walk(LINK_EDGES, "'s0'", None, cap=None)} SELECT url, depth, referrer FROM visited""",
+    "q_stream_visits": """
+WITH e AS (SELECT user_id, event_type, event_id // ((SELECT max(event_id) FROM events) // 4 + 1) AS batch,
+        epoch_us(ts) - CASE WHEN event_id % 40 = 0 THEN 18000000000 ELSE 0 END AS us FROM events),
+    w AS (SELECT batch, max(max(us) // 1000 * 1000 - 7200000000) OVER (ORDER BY batch) AS mark FROM e GROUP BY batch),
+    a AS (SELECT e.* FROM e LEFT JOIN w ON w.batch = e.batch - 1 WHERE us > coalesce(mark, 0)),
+    g AS (SELECT *, coalesce(us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_type) > 21600000000, true) AS opens FROM a),
+    v AS (SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY user_id ORDER BY us, event_type ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT CAST(user_id AS VARCHAR) AS key, min(us) AS first_us, min_by(event_type, us) AS first_referrer, max(us) AS last_us, count(*) AS n
+FROM v GROUP BY user_id, k HAVING max(us) + 21600000000 <= (SELECT max(mark) FROM w)""",
     "q_stream_metrics": """
 SELECT 0 AS batch, count(*) AS items, CAST(sum(n) AS BIGINT) AS links, max(n) AS most_links
 FROM (SELECT len(regexp_extract_all(html, '<a href=')) AS n FROM pages)""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,16 @@ from pyspark.sql import types as T
 
 from webtab import jobs
 from webtab.functions import scalars as sc
+from webtab.functions import tables
 from webtab.operators import graph, progress, stages
 from webtab.plans import article_structure, articles, books, books_structure, generic
+from webtab.schemas import ARTICLE
 from webtab.session import cut, scratch_path
 from webtab.sources import pages as src
 from webtab.sources import render, sinks
 from webtab.streaming import stream
+from webtab.streaming.visits import visits
+from webtab.streaming.walk import stream_walk, walked
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEED = "Doc_3"
@@ -49,6 +54,16 @@ def q_seed_pages(spark, d):
     return src.at_seeds(paths, seeds, on="path").select("page_id", "url", "kedalaman", "url_induk")
 
 
+def q_udtf_pages(spark, d):
+    """Links and headings of pages by the table function, from SQL."""
+    tables.register(spark)
+    pages = src.read_pages(spark, f"{d}/pages.parquet")
+    return spark.sql("""
+        SELECT page_id, 'link' AS kind, pos, href AS value, label FROM page_records(TABLE(SELECT page_id, url, html FROM {pages}), 'links')
+        UNION ALL
+        SELECT page_id, tag AS kind, pos, heading AS value, NULL AS label FROM page_records(TABLE(SELECT * FROM {pages}), 'headings')""", pages=pages)
+
+
 def _on_pages(job: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: job(src.read_pages(spark, f"{d}/pages.parquet"))
 
@@ -165,6 +180,33 @@ def q_crawl_metrics(spark, d):
     return reduce(DataFrame.unionByName, map(lines, CRAWLS))
 
 
+def q_job_run(spark, d):
+    """A crawl by the job function: pages from storage, parameters as text, hooks, and the export the user names."""
+    pages, out = scratch_path(spark, "job-pages"), scratch_path(spark, "job")
+    _articles(spark, d).write.parquet(pages)
+    jobs.run_job(spark, "wikipedia", pages, out, export=f"{out}/export.jsonl", seed=SEED, max_links="2", item_limit="0")
+    return sinks.read_jsonl(spark, f"{out}/export.jsonl", ARTICLE).select("url", "judul", "kedalaman")
+
+
+RUN = datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 5, 35)
+
+
+def q_run_summary(spark, d):
+    """The summary of a run: counts, name, start, end, duration, the stamp of its files and their path."""
+    counts = stages.item_counts({"BookItem": stages.valid_items(stages.clean(_dirty_books(spark, d)), "BookItem")})
+    return stages.run_statistics(counts, "books", *RUN).select(
+        "item_type", "n", "crawler", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"),
+        F.date_format("ended", "yyyy-MM-dd HH:mm:ss").alias("ended"), "seconds", sc.run_stamp(F.col("started")).alias("stamp"),
+        F.lit(sinks.output_path("output/", "books", RUN[0], "csv")).alias("path"))
+
+
+def q_loose_lists(spark, d):
+    """Related links of loose items: a JSON list, or a bare text, which is a list of one."""
+    loose = F.when(F.col("p_partkey") % 3 == 0, F.to_json(F.array("p_type", "p_brand"))).when(F.col("p_partkey") % 3 == 1, F.col("p_name"))
+    items = stages.clean(table(spark, d, "part").select("p_partkey", loose.alias("link_terkait")))
+    return items.select("p_partkey", F.size("link_terkait").alias("n"), F.array_join("link_terkait", " | ").alias("links"))
+
+
 def q_crawl_totals(spark, d):
     """The totals that are counted while the items of a crawl are written."""
     def totals(crawler: str) -> DataFrame:
@@ -352,6 +394,33 @@ def q_stream_chain(spark, d):
     return lines.drop("batch").join(cells, "page_id")
 
 
+def q_stream_visits(spark, d):
+    """Visits of the users in a stream of events that come in four files, every 40th row hours late."""
+    late = F.when(F.col("event_id") % 40 == 0, F.expr("INTERVAL 5 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+    rows = table(spark, d, "events").select("event_id", F.col("user_id"), "event_type", (F.col("ts").cast("timestamp") - late).alias("ts"))
+    folder, out = scratch_path(spark, "events"), scratch_path(spark, "stream-visits")
+    size = rows.agg(F.max("event_id")).first()[0] // 4 + 1
+    for k in range(4):      # one file after the other
+        rows.filter(F.floor(F.col("event_id") / size) == k).coalesce(1).write.mode("append").parquet(folder)
+    events = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream.write_batches(visits(events, "user_id", "ts", "event_type", "6 hours", "2 hours"), out,
+                         scratch_path(spark, "stream-state")).awaitTermination()
+    return spark.read.parquet(out).select("key", F.unix_micros("first_seen").alias("first_us"), "first_referrer",
+                                          F.unix_micros("last_seen").alias("last_us"), "n")
+
+
+def q_stream_walk(spark, d):
+    """The whole walk over supplier and part links, with the pages arriving in four files."""
+    edges = render.supplier_part_links(table(spark, d, "lineitem")).distinct()
+    pages = edges.groupBy(F.col("src").alias("url")).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "dst"))), lambda x: x["dst"]).alias("links"))
+    folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "stream-walk")
+    pages.repartition(4, "url").write.parquet(folder)
+    arriving = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream_walk(arriving, src.seed_urls(spark, ["s0"]), out, scratch_path(spark, "stream-state")).awaitTermination()
+    return walked(spark, out).select("url", "depth", "referrer")
+
+
 def q_stream_metrics(spark, d):
     """What was observed of each micro-batch while its items were written."""
     out = scratch_path(spark, "stream-metrics")
@@ -401,6 +470,10 @@ QUERIES: dict[str, Query] = {
     "q_bfs_hub": q_bfs_hub,
     "q_bfs_limit": q_bfs_limit,
     "q_bfs_half": q_bfs_half,
+    "q_udtf_pages": q_udtf_pages,
+    "q_job_run": q_job_run,
+    "q_run_summary": q_run_summary,
+    "q_loose_lists": q_loose_lists,
     "q_crawl_metrics": q_crawl_metrics,
     "q_crawl_totals": q_crawl_totals,
     "q_graph_degrees": q_graph_degrees,
@@ -415,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "q_stream_extract": q_stream_extract,
     "q_stream_dedup": q_stream_dedup,
     "q_stream_chain": q_stream_chain,
+    "q_stream_visits": q_stream_visits,
+    "q_stream_walk": q_stream_walk,
     "q_stream_metrics": q_stream_metrics,
     "q_stream_counts": q_stream_counts,
 }

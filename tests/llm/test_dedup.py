@@ -59,6 +59,21 @@ def test_exact_nulls_repeats_and_other_columns(spark, docs):
     assert kept.columns == df.columns
     assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "b"), (5, "a"), (7, "")]
     assert exact_dedup.keep_first(df.limit(0)).count() == 0
+    # columns with the names of helpers come back as they were
+    clash = docs(rows).withColumns({"row": F.lit("r"), "_digest": F.lit("d"), "_kept_key": F.lit("k"), "kept_id": F.lit("i"), "second": F.lit(3)})
+    for kept in (exact_dedup.keep_first(clash), simhash.keep_one_per_group(clash)):
+        assert kept.columns == clash.columns
+        assert {(r.row, r._digest, r._kept_key, r.kept_id, r.second) for r in kept.collect()} == {("r", "d", "k", "i", 3)}
+
+
+def test_a_row_that_repeats_is_not_gathered(spark, docs):
+    """Rows that share doc_id and text are a third of all; the last join is on a number that no two rows share."""
+    rows = [(5, "same")] * 400 + [(None, "none")] * 300 + [(k, f"t {k}") for k in range(100, 500)]
+    kept = exact_dedup.keep_first(docs(rows).repartition(7))
+    got = sorted((r.doc_id or -1, r.text) for r in kept.collect())
+    assert got == sorted({(k or -1, t) for k, t in rows})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
 
 
 def brute_components(rows):

@@ -20,9 +20,10 @@ first stays; an empty table gives an empty table; other columns are not looked a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webtab.llm.folds import unused
 from webtab.session import cut
 
 FAN = 8
@@ -42,8 +43,12 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = cut(_keyed(docs, id_col, text_col).select(
-        "*", F.spark_partition_id().alias("leaf"), F.monotonically_increasing_id().alias("row")), "digests")
+    return _grouped(_keyed(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())).drop("row")
+
+
+def _grouped(keyed: DataFrame) -> DataFrame:
+    """The same, with ``row``, for rows that have their number and the columns ``KEY``."""
+    rows = cut(keyed.withColumn("leaf", F.shiftright("row", 33).cast("int")), "digests")
     first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "row")
     leaves = cut(rows.groupBy("leaf", *KEY).agg(F.min(first).alias("first"), F.count("*").alias("n")), "runs")
     count = (rows.agg(F.max("leaf")).first()[0] or 0) + 1
@@ -56,21 +61,20 @@ def digest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     told = leaves.select("leaf", *KEY).join(root, KEY)
     return rows.join(told, ["leaf", *KEY]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "row")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    The rows are written with their numbers first, so that a number means the same row in both passes. They are joined by
+    it, and no number repeats, whatever ids and texts do.
+    """
     names = docs.columns
-    kept = digest_groups(docs, id_col, text_col).where("kept").select(
-        _id_key(F.col("doc_id")).alias("_kept_key"), F.unhex("text_sha256").alias("_digest"))
-    digest = F.unhex(F.sha2(normalised(F.col(text_col)), 256))
-    joined = (docs.withColumns({"_kept_key": _id_key(F.col(id_col)), "_digest": digest})
-              .join(kept, ["_kept_key", "_digest"]))
-    # rows that repeat both doc_id and text: one stays; the join has them together already
-    once = Window.partitionBy("_kept_key", "_digest").orderBy("_kept_key")
-    return joined.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select(*names)
-
-
-def _id_key(key: Column) -> Column:
-    return F.coalesce(key.cast("string"), F.lit("null"))
+    row = unused("row", names)
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    text = normalised(F.col(text_col))
+    keyed = numbered.select(F.col(id_col).alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), F.octet_length(text).alias("bytes"),
+                            F.xxhash64(text).alias("second"), F.col(row).alias("row"))
+    kept = _grouped(keyed).where("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row).select(*names)

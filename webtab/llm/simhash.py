@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtab.llm.components import components
+from webtab.llm.folds import unused
 from webtab.session import cut
 
 THRESHOLD = 4
@@ -207,7 +208,8 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows without doc_id stay (none of them can stand for another); rows that share the smallest
     doc_id count as one document.
     """
+    key = unused("kept_id", docs.columns)
     kept = (near_duplicates(docs, id_col, text_col).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept_id")).distinct())
-    named = docs.withColumn("_kept_id", F.col(id_col).cast("long"))
-    return named.join(kept, "_kept_id", "left_semi").unionByName(named.where("_kept_id is null")).select(*docs.columns)
+            .select(F.col("doc_id").alias(key)).distinct())
+    named = docs.withColumn(key, F.col(id_col).cast("long"))
+    return named.join(kept, key, "left_semi").unionByName(named.where(F.col(key).isNull())).select(*docs.columns)

@@ -17,7 +17,7 @@ END_ID = 0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn the languages from the labelled rows of ``docs``; documents without a known language go."""
+    """Learn the languages from the labelled rows of ``docs``; documents that are mostly in none of them go."""
     return language.keep_known(docs, language.learn(docs))
 
 

@@ -56,7 +56,31 @@ def test_held_out_accuracy_and_spans(spark):
     assert [s.lang for s in spans] == ["en", "fr"] and spans[0].start == 0 and spans[-1].end == len(mixed)
     assert abs(spans[1].start - mixed.index("##") - 3) <= 12
     assert language.keep_known(df, model).columns == df.columns
-    assert {r.doc_id for r in language.keep_known(df, model).collect()} == set(got) - {900, 901, 902}
+    assert {r.doc_id for r in language.keep_known(df, model).collect()} == set(got) - {900, 901, 902, 904}
+
+
+def test_documents_of_other_languages_go(spark):
+    """A script that is not learned, words unlike any learned ones, and a mixture of which most is known."""
+    rows = corpus()
+    model = language.learn(table(spark, [r for r in rows if r[2] != "ru"]))
+    rng = random.Random(5)
+    strange = " ".join("".join(rng.choice("xzwkjvq") for _ in range(9)) for _ in range(40))
+    some = [(1, text("ru", 30, rng), None), (2, strange, None), (3, text("fr", 30, rng) + " " + text("ru", 5, rng), None),
+            (4, text("en", 20, rng).upper(), None), (5, text("en", 3, rng) + " " + text("ru", 40, rng), None)]
+    assert sorted(r.doc_id for r in language.keep_known(table(spark, some), model).collect()) == [3, 4]
+
+
+def test_every_label_is_learned(spark):
+    """Many labels, each with words of its own; the model stays within its size."""
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:03}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(12)] for k in range(300)}
+    rows = [(n, " ".join(rng.choices(words, k=20)), lang) for n, (lang, words) in enumerate(own.items())]
+    model = language.learn(table(spark, rows))
+    assert len(model.langs) == 300 and model.logs.size <= language.MODEL and model.logs.shape[0] == 1 << language.bits_for(300)
+    got = {r.doc_id: r.lang_pred for r in language.identify(table(spark, rows), model).collect()}
+    assert np.mean([got[n] == lang for n, _, lang in rows]) > 0.98
+    assert language.bits_for(4) == language.BUCKET_BITS and language.bits_for(1000) == 13 and language.bits_for(10 ** 6) == language.LEAST_BITS
 
 
 def test_nothing_to_learn_from(spark):

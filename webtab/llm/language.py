@@ -2,9 +2,8 @@
 
 Learning. From about ``SAMPLE_DOCS`` labelled documents per language (whole texts, chosen by a hash
 of doc_id) each language gets log-probabilities of hashed character 1- to 4-grams,
-and the scripts that hold at least ``SCRIPT_SHARE`` of its letters. The model has
-``2**BUCKET_BITS`` counts per language whatever the input; at most ``MOST_LANGUAGES`` languages, the
-most frequent ones, are learned.
+and the scripts that hold at least ``SCRIPT_SHARE`` of its letters. Every label is learned. The model has
+``2**BUCKET_BITS`` counts per language, or fewer where there are so many languages that it would have more than ``MODEL`` in all.
 
 Prediction. A word's script leaves only the languages written in it as candidates; the others
 get a fixed low score. The path of languages through the words of a text with the largest sum of
@@ -12,6 +11,9 @@ scores, less ``SWITCH`` for each change, is found by Viterbi for many documents
 path gives the spans of a mixed text; the language with most letters is the document's, and its
 share of the letters the score (ties: the smaller name).
 
+A word is known if a learned language is written in its script and its grams are likelier in one of these than by chance.
+``keep_known`` keeps the documents of whose letters at least ``KNOWN_SHARE`` are in known words.
+
 Cases: null texts and texts without a letter are ``und`` with score 0 and no spans; words without
 letters carry no score; repeated rows give equal rows; with nothing to learn from all is ``und``;
 an empty table gives an empty one. Other columns than id, text and label are not looked at.
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 from webtab.llm.folds import drawn
 
 SAMPLE_DOCS = 3000
-MOST_LANGUAGES = 200
+MODEL = 1 << 23
 BUCKET_BITS = 16
+LEAST_BITS = 10
+KNOWN_SHARE = 0.5
 LONGEST_GRAM = 4
 SCRIPT_SHARE = 0.01
 SWITCH = 8.0
@@ -63,7 +67,12 @@ def letters_of(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def bits_for(languages: int) -> int:
+    """Bits of a bucket number, so that the model stays within its size."""
+    return max(LEAST_BITS, min(BUCKET_BITS, (MODEL // max(languages, 1)).bit_length() - 1))
+
+
+def grams(words: list[str], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the 1- to 4-grams of many words between marks, and the number of each gram's word."""
     codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
     owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
@@ -75,7 +84,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = (h ^ codes[k:m + k]) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
         inside = owner[:m] == owner[n - 1:n - 1 + m]
-        buckets.append((h[inside] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BUCKET_BITS))
+        buckets.append((h[inside] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - bits))
         owners.append(owner[:m][inside])
     return np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
 
@@ -87,44 +96,50 @@ class Model:
     written: np.ndarray  # scripts x languages
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one partition by (lang, bucket); the scripts follow the buckets."""
-    words: dict[str, Counter] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-            words.setdefault(lang, Counter()).update((text.as_py() or "").lower().split())
-    for lang, seen in words.items():
-        n = np.zeros((1 << BUCKET_BITS) + N_SCRIPTS)
-        known = [(letters_of(w), script, times) for w, times in seen.items() if (script := script_of(w)) >= 0]
-        for k in range(0, len(known), PART_WORDS):
-            own, scripts, times = zip(*known[k:k + PART_WORDS], strict=True)
-            bucket, owner = grams(list(own))
-            times = np.asarray(times)
-            n += np.bincount(bucket, times[owner], len(n))
-            n += np.bincount(np.asarray(scripts) + (1 << BUCKET_BITS), times * [len(w) for w in own], len(n))
-        at = np.flatnonzero(n)
-        yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at].astype(np.int64))],
-                              names=["lang", "bucket", "n"])
+def _counts(bits: int):
+    """Counts of one partition by (lang, bucket); the scripts follow the buckets. ``lang`` is the number of the label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[int, Counter] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                words.setdefault(lang, Counter()).update((text.as_py() or "").lower().split())
+        for lang, seen in words.items():
+            n = np.zeros((1 << bits) + N_SCRIPTS)
+            known = [(letters_of(w), script, times) for w, times in seen.items() if (script := script_of(w)) >= 0]
+            for k in range(0, len(known), PART_WORDS):
+                own, scripts, times = zip(*known[k:k + PART_WORDS], strict=True)
+                bucket, owner = grams(list(own), bits)
+                times = np.asarray(times)
+                n += np.bincount(bucket, times[owner], len(n))
+                n += np.bincount(np.asarray(scripts) + (1 << bits), times * [len(w) for w in own], len(n))
+            at = np.flatnonzero(n)
+            yield pa.record_batch([pa.array([lang] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(n[at].astype(np.int64))],
+                                  names=["lang", "bucket", "n"])
+    return run
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on the labelled rows of ``docs``; what comes to the driver is the model's counts."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    langs = sorted(r["lang"] for r in sizes)
-    size = F.lit(None).cast("long")
-    for r in sizes:
-        size = F.when(F.col("lang") == r["lang"], r["n"]).otherwise(size)
-    sample = rows.where(drawn(F.coalesce("doc_id", F.lit(0)), SAMPLE_DOCS, size)).select("lang", "text")
-    found = (sample.mapInArrow(_counts, "lang string, bucket long, n long")
-             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    n = np.zeros(((1 << BUCKET_BITS) + N_SCRIPTS, len(langs)))
+    # one row per label
+    sizes = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
+    langs, bits = [lang for lang, _ in sizes], bits_for(len(sizes))
+    numbers = docs.sparkSession.createDataFrame([(lang, k, n) for k, (lang, n) in enumerate(sizes)], "lang string, number int, there long")
+    sample = (rows.join(F.broadcast(numbers), "lang").where(drawn(F.coalesce("doc_id", F.lit(0)), SAMPLE_DOCS, F.col("there")))
+              .select(F.col("number").alias("lang"), "text"))
+    # MODEL counts at most, as numbers
+    found = (sample.mapInArrow(_counts(bits), "lang int, bucket int, n long")
+             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
+    n = np.zeros(((1 << bits) + N_SCRIPTS, len(langs)), np.float32)
+    if len(langs):
+        n[found["bucket"].to_numpy(), found["lang"].to_numpy()] = found["n"].to_numpy()
+    logs, scripts_n = n[:1 << bits], n[1 << bits:]
     if len(langs):
-        n[found["bucket"].to_numpy(), [langs.index(x) for x in found["lang"]]] = found["n"].to_numpy()
-    grams_n, scripts_n = n[:1 << BUCKET_BITS], n[1 << BUCKET_BITS:]
-    logs = np.log((grams_n + 0.1) / (grams_n.sum(axis=0) + 0.1 * len(grams_n))) if len(langs) else grams_n
-    return Model(langs, logs.astype(np.float32), scripts_n > SCRIPT_SHARE * scripts_n.sum(axis=0))
+        total = logs.sum(axis=0, dtype=np.float64) + 0.1 * len(logs)
+        logs += np.float32(0.1)
+        np.log(logs / total.astype(np.float32), out=logs)
+    return Model(langs, logs, scripts_n > SCRIPT_SHARE * scripts_n.sum(axis=0))
 
 
 class Scorer:
@@ -133,26 +148,33 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
         self.rows = np.zeros((0, max(1, len(model.langs))), np.float32)
+        self.known = np.zeros(0, bool)
         self.letters: list[int] = []
         self.at: dict[str, int] = {}
         self._new: list[tuple[str, int]] = []
 
-    def _scores(self, words: list[str], scripts: np.ndarray) -> np.ndarray:
-        """One row per word: below the best candidate's score; languages that are not written like this get the lowest."""
-        bucket, owner = grams(words)
+    def _scores(self, words: list[str], scripts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One row per word: below the best candidate's score; languages that are not written like this get the lowest.
+        And whether each word is known."""
         logs, fits = self.model.logs, self.model.written[scripts]
+        bucket, owner = grams(words, len(logs).bit_length() - 1)
         own = np.stack([np.bincount(owner, logs[bucket, k], len(words)) for k in range(logs.shape[1])], axis=1)
-        own -= np.where(fits, own, -np.inf).max(axis=1, keepdims=True, initial=-1e9)
+        best = np.where(fits, own, -np.inf).max(axis=1, keepdims=True, initial=-1e9)
+        chance = -np.log(len(logs)) * np.bincount(owner, minlength=len(words))
+        own -= best
         out = np.where(fits, np.maximum(own, LOWEST), LOWEST)
-        return np.where(fits.any(axis=1, keepdims=True), out, 0.0).astype(np.float32)
+        return np.where(fits.any(axis=1, keepdims=True), out, 0.0).astype(np.float32), fits.any(axis=1) & (best[:, 0] > chance)
 
     def scores(self) -> np.ndarray:
         """The rows of all words so far."""
-        parts = [self.rows]
+        parts, known = [self.rows], [self.known]
         for k in range(0, len(self._new), PART_WORDS):
             words, scripts = zip(*self._new[k:k + PART_WORDS], strict=True)
-            parts.append(self._scores(list(words), np.asarray(scripts)) if self.model.langs else np.zeros((len(words), 1), np.float32))
-        self.rows, self._new = np.concatenate(parts), []
+            none = np.zeros((len(words), 1), np.float32), np.zeros(len(words), bool)
+            own = self._scores(list(words), np.asarray(scripts)) if self.model.langs else none
+            parts.append(own[0])
+            known.append(own[1])
+        self.rows, self.known, self._new = np.concatenate(parts), np.concatenate(known), []
         return self.rows
 
     def index(self, words: list[str]) -> np.ndarray:
@@ -228,7 +250,7 @@ class Predictor:
         self.scorer = Scorer(model)
 
     def predict(self, texts: list[str]) -> list[dict]:
-        """lang_pred, score and spans of each text."""
+        """lang_pred, score, spans and the share of letters in known words of each text."""
         out: list[dict] = []
         words: list[np.ndarray] = []
         size = 0
@@ -246,7 +268,7 @@ class Predictor:
         langs = self.model.langs
         own = [w[w >= 0] for w in words]
         order = sorted((i for i in range(len(own)) if len(own[i])), key=lambda i: -len(own[i]))
-        rows = [{"lang_pred": "und", "score": 0.0, "spans": []} for _ in texts]
+        rows = [{"lang_pred": "und", "score": 0.0, "spans": [], "known": 0.0} for _ in texts]
         if not order or not langs:
             return rows
         weight = np.asarray(self.scorer.letters, np.int64)
@@ -258,7 +280,8 @@ class Predictor:
             share = np.bincount(mine, weight[own[i]], len(langs))
             top = int(share.argmax())
             rows[i] = {"lang_pred": langs[top], "score": float(share[top] / share.sum()),
-                       "spans": _spans(texts[i], mine, words[i] >= 0, langs)}
+                       "spans": _spans(texts[i], mine, words[i] >= 0, langs),
+                       "known": float(weight[own[i]] @ self.scorer.known[own[i]] / share.sum())}
             at += n
         return rows
 
@@ -280,19 +303,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             found = predictor.predict([v.as_py() or "" for v in batch.column("text")])
             keys = batch.column("doc_id").to_pylist()
-            yield pa.RecordBatch.from_pylist([{"doc_id": k, **f} for k, f in zip(keys, found, strict=True)], schema)
+            yield pa.RecordBatch.from_pylist([{"doc_id": k, **f} for k, f in zip(keys, found, strict=True)], schema)  # without "known"
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, RESULT)
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is known (not ``und``), with all their columns."""
+    """The rows of ``docs`` that are mostly written in learned languages, with all their columns; texts without a letter are not."""
     make = _model_of(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = make()
         for batch in batches:
             found = predictor.predict([v.as_py() or "" for v in batch.column(batch.schema.get_field_index(text_col))])
-            yield batch.filter(pa.array([f["lang_pred"] != "und" for f in found], pa.bool_()))
+            yield batch.filter(pa.array([f["lang_pred"] != "und" and f["known"] >= KNOWN_SHARE for f in found], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

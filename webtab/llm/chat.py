@@ -95,8 +95,10 @@ def write_chats(turns: DataFrame, out: str, template: dict = TEMPLATE) -> None:
     """
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
                         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    by = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
-    rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_format(template), TURN_SQL).write.parquet(out)
+    by = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role")]
+    # rows of one turn and role are one conversation's, which passes through one task in the end; their texts are no bounds
+    (rows.repartitionByRange(*by).sortWithinPartitions(*by, F.col("text").asc_nulls_first())
+     .mapInArrow(_format(template), TURN_SQL).write.parquet(out))
 
 
 def validity(spark: SparkSession, path: str, template: dict = TEMPLATE) -> DataFrame:

@@ -56,6 +56,10 @@ def test_finds_what_alignment_finds(spark, docs, monkeypatch, window, block):
     assert len(want) > 25 and len(set(want.values())) > 3
     found = dc.find(docs(rows), spark.createDataFrame(items, ITEM)).collect()
     assert {(r.doc_id, r.item_id): r.edits for r in found} == want and len(found) == len(want)
+    # what is kept holds none; with many blocks no plan searches for more than one
+    kept = dc.keep_clean(docs(rows).withColumn("row", F.lit("mine")), spark.createDataFrame(items, ITEM))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({d for d, _ in rows} - {d for d, _ in want})
+    assert {r.row for r in kept.collect()} == {"mine"} and kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
     text, name = dict(rows), dict(items)
     for r in found:
         own = normal(text[r.doc_id][r.start:r.end])

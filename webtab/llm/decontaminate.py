@@ -11,7 +11,7 @@ Of an item's q-grams the most frequent ones are left out of the index, a third o
 lowered by their number; this is lossless too.
 
 The benchmark is the query set: it is taken in blocks of at most ``BLOCK_CHARS`` characters, one pass over the documents
-for each, and only a block's index (about 30 bytes a character) is sent to the tasks. Long texts are searched in overlapping
+for each, and one block's index (about 30 bytes a character) is at the driver and at the tasks at a time. Long texts are searched in overlapping
 windows of ``WINDOW`` characters, so memory is bounded.
 
 Cases: null and empty texts and items match nothing; items of fewer than ``Q`` characters after normalisation are
@@ -22,14 +22,20 @@ doc_id is found like any other; empty tables give an empty result; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webtab.llm.folds import unused
+from webtab.session import cut, scratch_path
+
 Q = 8
 BUDGET = 0.1
 BLOCK_CHARS = 1_000_000
@@ -228,9 +234,25 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
         yield index
 
 
-def _sent(spark, index: Index):
+def _sent(spark: SparkSession, index: Index) -> tuple[Broadcast, Callable[[], Finder]]:
     data = spark.sparkContext.broadcast(tuple(getattr(index, f) for f in Index.__dataclass_fields__))
-    return lambda: Finder(Index(*data.value))
+    return data, lambda: Finder(Index(*data.value))
+
+
+def _several(blocks: Iterator[Index]) -> tuple[Index | None, Iterator[Index] | None]:
+    """The only block, or all of them if there are several."""
+    first, second = next(blocks, None), next(blocks, None)
+    return (first, None) if second is None else (None, chain([first, second], blocks))
+
+
+def _block_by_block(rows: DataFrame, blocks: Iterator[Index], search: Callable, schema: str) -> DataFrame:
+    """What ``search`` finds for each block, written before the next one is sent: one block's index is out at a time."""
+    spark, out = rows.sparkSession, scratch_path(rows.sparkSession, "block-matches")
+    for index in blocks:
+        data, make = _sent(spark, index)
+        rows.mapInArrow(search(make), schema).write.mode("append").parquet(out)
+        data.destroy()
+    return spark.read.schema(schema).parquet(out)
 
 
 def _matches(make):
@@ -251,24 +273,43 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """One row per document and item that it holds: doc_id, item_id, start, end (in the text), edits."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = spark.createDataFrame([], MATCH)
-    for index in _blocks(benchmark, item_col, item_text_col):
-        out = out.unionByName(rows.mapInArrow(_matches(_sent(spark, index)), MATCH))
-    return out
+    index, several = _several(_blocks(benchmark, item_col, item_text_col))
+    if several is not None:
+        return _block_by_block(rows, several, _matches, MATCH)
+    return spark.createDataFrame([], MATCH) if index is None else rows.mapInArrow(_matches(_sent(spark, index)[1]), MATCH)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    def keep(make):
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    With several blocks the rows are numbered and written once, the numbers of those that hold an item are gathered block by
+    block, and the others stay.
+    """
+    def holds(make: Callable[[], Finder], batch: pa.RecordBatch, finder: list[Finder]) -> pa.Array:
+        if not finder:
+            finder.append(make())
+        found = finder[0].find([v.as_py() or "" for v in batch.column(batch.schema.get_field_index(text_col))])
+        return pa.array([bool(f) for f in found], pa.bool_())
+
+    def keep(make: Callable[[], Finder]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            finder = make()
+            finder: list[Finder] = []
             for batch in batches:
-                at = batch.schema.get_field_index(text_col)
-                found = finder.find([v.as_py() or "" for v in batch.column(at)])
-                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
+                yield batch.filter(pc.invert(holds(make, batch, finder)))
         return run
 
-    for index in _blocks(benchmark, item_col, item_text_col):
-        docs = docs.mapInArrow(keep(_sent(docs.sparkSession, index)), docs.schema)
-    return docs
+    index, several = _several(_blocks(benchmark, item_col, item_text_col))
+    if several is None:
+        return docs if index is None else docs.mapInArrow(keep(_sent(docs.sparkSession, index)[1]), docs.schema)
+    row = unused("row", docs.columns)
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+    def numbers(make: Callable[[], Finder]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finder: list[Finder] = []
+            for batch in batches:
+                yield batch.filter(holds(make, batch, finder)).select([row])
+        return run
+    held = _block_by_block(numbered.select(row, text_col), several, numbers, f"`{row}` long").distinct()
+    return numbered.join(held, row, "left_anti").select(*docs.columns)

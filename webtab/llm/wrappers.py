@@ -4,7 +4,8 @@ Inference. A page's layout is its whole token stream, folded: immediate repeats
 are counted per host first, so copies and pages of one layout cost one row. In rounds, up to ``ROUND_LAYOUTS`` layouts of a
 host (most pages first) that its wrapper does not match are aligned with it one after the other, until all match: what one side has and the
 other lacks becomes an optional group; two different repeats are aligned inside. The result has no unions, only tags, texts, slots,
-``(...)?`` and ``(...)+``, and matches every layout aligned with it. Layouts left after ``ROUNDS`` rounds are counted in a warning.
+``(...)?`` and ``(...)+``, and matches every layout aligned with it. Rounds go on until every layout of every host is matched; a round
+that matches none (its layouts need more than ``STATES`` steps) is the last, and what is left is counted in a warning.
 A last pass over all pages of the host keeps for each slot and each repeated group the texts that every page with it has there; if at
 least ``LEAST_PAGES`` different pages have it, those are template text, the rest is data.
 
@@ -40,7 +41,6 @@ from pyspark.sql import functions as F
 from webtab.session import cut
 
 ROUND_LAYOUTS = 200
-ROUNDS = 50
 LONGEST_GROUP = 24
 ALIGNED = 4_000_000  # items times items that are aligned in full
 STATES = 5_000_000  # steps of one match
@@ -510,8 +510,8 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     waiting = cut(rows.mapInArrow(_layouts, "host string, layout string, n long").groupBy("host", "layout").agg(F.sum("n").alias("n")), "layouts")
     sizes = waiting.groupBy("host").agg(F.sum("n").cast("int").alias("pages"))
     first = Window.partitionBy("host").orderBy(F.desc("n"), "layout")
-    wrappers = None
-    for _ in range(ROUNDS):
+    wrappers, before = None, None
+    while True:
         picked = waiting.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= ROUND_LAYOUTS)
         picked = (picked.withColumn("wrapper", F.lit(None).cast("string")) if wrappers is None else picked.join(wrappers, "host"))
         wider = picked.groupBy("host").applyInArrow(_widen, "host string, wrapper string")
@@ -519,11 +519,12 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             wider = wider.unionByName(wrappers.join(waiting.select("host").distinct(), "host", "left_anti"))
         wrappers = cut(wider, "wrappers")
         waiting = cut(waiting.join(wrappers, "host").mapInArrow(_unmatched, "host string, layout string, n long"), "unmatched")
-        if waiting.isEmpty():
+        left = waiting.agg(F.count("*").alias("layouts"), F.sum("n").alias("pages")).first()
+        if left["layouts"] in (0, before):
             break
-    left = waiting.agg(F.count("*").alias("layouts"), F.sum("n").alias("pages")).first()
+        before = left["layouts"]
     if left["layouts"]:
-        logging.getLogger(__name__).warning("%d layouts of %d pages match no wrapper after %d rounds", left["layouts"], left["pages"], ROUNDS)
+        logging.getLogger(__name__).warning("%d layouts of %d pages match no wrapper", left["layouts"], left["pages"])
     parts = cut(rows.join(wrappers, "host").select("host", "html", "wrapper")
                 .mapInArrow(_constants, "host string, slot int, said array<long>, seen array<long>"), "slots")
     asked = parts.groupBy("host", "slot").agg(F.count("*").alias("parts"), F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("seen"))

@@ -218,8 +218,11 @@ def test_filter_drops_rows_before_they_are_moved(spark, no_broadcast):
     assert layout.AddressFilter(spark).tested(probes, "probe").filter("doubtful").isEmpty()
 
 
-def test_hot_pages_are_divided(spark, monkeypatch):
+@pytest.mark.parametrize("filtered", [0, 9, 1 << 30])
+def test_hot_pages_are_divided(spark, monkeypatch, filtered):
+    """The walk is the same from whichever level on the filter is used."""
     monkeypatch.setattr(graph, "HOT_LINKS", 7)
+    monkeypatch.setattr(graph, "FILTERED", filtered)
     edges = [("hub", f"n{k}", k) for k in range(60)] + [(f"n{k}", "hub", 0) for k in range(60)] + [(f"n{k}", f"n{k * 7 % 60}", 1) for k in range(60)]
     for cap in (4, None):
         want, order = walk_by_hand(edges, ["n3"], cap, 4)

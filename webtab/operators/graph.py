@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HOT_LINKS = 100_000     # a page with more links is divided into pieces of about so many
 PRUNED = 200            # levels of at most so many pages name them, so that only their parts of the links are read
+FILTERED = 100_000      # from so many visited pages on a filter stands before the join with them
 GROUPED = 65_536        # pages of a chain that are followed in one group
 
 
@@ -69,12 +70,12 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     """
     spark = edges.sparkSession
     probed = "probe" in edges.columns
-    e = cut(edges.select("src", "dst", "pos", F.col("probe" if probed else "dst").alias("probe")).distinct(), "edges")
+    e = edges.select("src", "dst", "pos", F.col("probe" if probed else "dst").alias("probe"))
     # at most one hot page for every HOT_LINKS links
-    hot = cut(e.groupBy("src").agg(F.ceil(F.count("*") / F.lit(HOT_LINKS)).cast("int").alias("pieces"))
-              .filter(F.col("pieces") > 1), "hot-pages")
-    divided = not hot.isEmpty()
+    hot = e.groupBy("src").agg(F.ceil(F.count("*") / F.lit(HOT_LINKS)).cast("int").alias("pieces")).filter(F.col("pieces") > 1)
+    divided, e = not hot.isEmpty(), e.distinct()
     if divided:
+        hot = cut(hot, "hot-pages")
         piece = F.pmod(F.xxhash64("dst", "pos", "probe"), F.coalesce("pieces", F.lit(1)))
         e = e.join(hot, "src", "left").withColumn("key", _piece_key(F.col("src"), piece)).drop("pieces", "src")
     else:
@@ -147,16 +148,26 @@ def _levels(seeds: DataFrame, visit: Callable[[DataFrame, list[str] | None], Dat
         "url", F.lit(None).cast("string").alias("referrer"), F.col("seed_no").cast("int").alias("seed_no"),
         F.array().cast(f"array<{pos_type}>").alias("path"))
     # all pages visited so far; a level adds to it
-    visited, seen, offers = Divided(spark, "visited", "url", "depth"), AddressFilter(spark), []
+    visited, seen, reached, offers = Divided(spark, "visited", "url", "depth"), None, 0, []
     try:
         for depth in range(max_depth + 1):
             visited.append(existing(found).withColumn("depth", F.lit(depth)))
             level = visited.read().filter(F.col("depth") == depth)
-            added = seen.add(level, "url")
-            if depth and not added or depth == max_depth and not last_offers:
+            head = [r["url"] for r in level.select("url").limit(PRUNED + 1).collect()]
+            if depth and not head or depth == max_depth and not last_offers:
                 break
-            names = [r["url"] for r in level.select("url").collect()] if added <= PRUNED else None
-            links = new_links(cut(seen.tested(visit(level, names), "probe"), "bfs-links"), visited.read())
+            names = head if len(head) <= PRUNED else None
+            reached += len(head) if names is not None else level.count()
+            links = visit(level, names)
+            if reached < FILTERED:
+                # Not an anti join: that would be pushed below the join with the links and test every link of the graph.
+                known = visited.read().select(F.col("url").alias("_seen"))
+                links = links.join(known, F.col("probe") == F.col("_seen"), "left").filter(F.col("_seen").isNull()).drop("_seen")
+            else:
+                fresh = level if seen else visited.read()
+                seen = seen or AddressFilter(spark)
+                seen.add(fresh, "url")
+                links = new_links(cut(seen.tested(links, "probe"), "bfs-links"), visited.read())
             if max_links is not None:
                 links = first_per_group(links, "url", F.col("pos"), max_links)
             offer = cut(links, "bfs-offer")
@@ -240,13 +251,13 @@ def follow_chain(edges: DataFrame, seeds: DataFrame, max_hops: int | None = None
     more = [c for c in seeds.columns if c not in ("seed", "url")]
     first = F.min(F.struct("page_id", "dst"))["dst"] if "page_id" in edges.columns else F.min("dst")
     step = cut(edges.groupBy("src").agg(first.alias("dst")).filter(F.col("dst").isNotNull()), "chain-steps")
-    starts = cut(seeds.dropDuplicates(["seed", "url"]).select("seed", "url", F.lit(0).alias("hop"),
-                                                              F.lit(None).cast("string").alias("previous"), *more), "chain-part")
+    starts = seeds.dropDuplicates(["seed", "url"]).select("seed", "url", F.lit(0).alias("hop"),
+                                                          F.lit(None).cast("string").alias("previous"), *more)
     parts = cut(_stretches(step, starts), "chain-stretches")
     jump = parts.filter(F.col("to").isNotNull()).select(F.col("entry").alias("src"), F.col("to").alias("dst"),
                                                         (F.col("place") + 1).alias("length"), F.col("url").alias("via"))
     reached = [starts]
-    while True:
+    while not jump.isEmpty():
         so_far = _union(reached)
         new = so_far.drop("previous").join(jump, F.col("url") == F.col("src")).select(
             "seed", F.col("dst").alias("url"), F.struct((F.col("hop") + F.col("length")).alias("hop"), F.col("via").alias("previous"), *more).alias("r"))

@@ -51,7 +51,7 @@ def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from webtab.session import build_session
     folder, names = sys.argv[1], sys.argv[2:]
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8",
+    spark = build_session("check", f"local[{os.environ.get('CHECK_CPUS', 8)}]", spark__sql__shuffle__partitions="8",
                           spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
                           spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,7 +61,11 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            problem = differences(spark, con, name, query, oracle_sql()[name], folder)
+            sql = oracle_sql().get(name)
+            if sql is None:
+                print(f"rows {name} {query(spark, folder).count()}, no SQL", flush=True)
+                continue
+            problem = differences(spark, con, name, query, sql, folder)
         except Exception as e:  # report and go on with the next query
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += problem is not None

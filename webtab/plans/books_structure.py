@@ -21,6 +21,13 @@ DOMAINS = ["books.toscrape.com"]
 ROOT_CATEGORY = "books"
 DEPTH_LIMIT = 5
 BOOKS_PER_PAGE = 20
+HOME, CATEGORY, LISTING = "home", "kategori", "listing"
+HOME_NAME, LISTING_NAME = "Home", "%s — Halaman %d"
+THERE, MISSING = "ada", "tidak"
+CRUMB_TAG, CRUMB_SEPARATOR = "breadcrumb:", " > "
+SIDE_TAG = "sidebar_kategori:%d item"
+PAGER_TAGS = "pagination:prev=", ",next="
+HEADER_TAG = "header:ada"
 PAGER_TEXT = r"(?iU)Page\s+\d+\s+of\s+(\d+)"
 
 SHOP_PAGE = Marks(
@@ -73,13 +80,13 @@ def next_url() -> Column:
 def navigation_tags() -> Column:
     crumbs = sc.strip_all(SHOP_PAGE.texts("crumb_link"))
     side = SHOP_PAGE.count("side_link")
-    there = lambda mark: F.when(SHOP_PAGE.has(mark), "ada").otherwise("tidak")
+    there = lambda mark: F.when(SHOP_PAGE.has(mark), THERE).otherwise(MISSING)
     return F.array_compact(F.array(
-        F.when(F.size(crumbs) > 0, F.concat(F.lit("breadcrumb:"), F.array_join(crumbs, " > "))),
-        F.when(side > 0, F.format_string("sidebar_kategori:%d item", side)),
+        F.when(F.size(crumbs) > 0, F.concat(F.lit(CRUMB_TAG), F.array_join(crumbs, CRUMB_SEPARATOR))),
+        F.when(side > 0, F.format_string(SIDE_TAG, side)),
         F.when(SHOP_PAGE.has("pager"), F.concat(
-            F.lit("pagination:prev="), there("previous_item"), F.lit(",next="), there("next_item"))),
-        F.when(SHOP_PAGE.has("header"), F.lit("header:ada")),
+            F.lit(PAGER_TAGS[0]), there("previous_item"), F.lit(PAGER_TAGS[1]), there("next_item"))),
+        F.when(SHOP_PAGE.has("header"), F.lit(HEADER_TAG)),
     ))
 
 
@@ -88,7 +95,7 @@ def page_meta() -> Column:
     return F.struct(
         sc.strip(first_or(SHOP_PAGE.texts("title"))).alias("title"),
         sc.strip(first_or(SHOP_PAGE.attr("description", "content"))).alias("meta_description"),
-        F.nullif(F.array_join(crumbs, " > "), F.lit("")).alias("breadcrumb"),
+        F.nullif(F.array_join(crumbs, CRUMB_SEPARATOR), F.lit("")).alias("breadcrumb"),
         SHOP_PAGE.count("card").alias("jumlah_artikel_di_halaman"))
 
 
@@ -139,19 +146,19 @@ def walk_books_structure(pages: DataFrame, start_urls: list[str] | None = None,
     is_first = F.col("hop") == 0
     next_list = F.array_compact(F.array("next_url"))
     listing = rows.select(
-        F.when(is_first, "kategori").otherwise("listing").alias("tipe"),
-        F.when(is_first, F.col("category")).otherwise(F.format_string("%s — Halaman %d", "category", number)).alias("nama"),
+        F.when(is_first, CATEGORY).otherwise(LISTING).alias("tipe"),
+        F.when(is_first, F.col("category")).otherwise(F.format_string(LISTING_NAME, "category", number)).alias("nama"),
         "url", F.when(is_first, F.col("home_url")).otherwise(F.col("previous")).alias("url_induk"),
         F.lit(1).alias("kedalaman"), F.col("books").alias("jumlah_buku"), F.col("pages").alias("jumlah_halaman"),
         number.alias("nomor_halaman"), "tag_navigasi",
         F.when(is_first & (F.col("pages") <= 1), F.array().cast("array<string>")).otherwise(next_list).alias("link_anak"),
         "meta_html", "hop", "pos", "category")
     top = home.select(
-        F.lit("home").alias("tipe"), F.lit("Home").alias("nama"), "url",
+        F.lit(HOME).alias("tipe"), F.lit(HOME_NAME).alias("nama"), "url",
         F.lit(None).cast("string").alias("url_induk"), F.lit(0).alias("kedalaman"),
         "jumlah_buku", "jumlah_halaman", F.lit(1).alias("nomor_halaman"), "tag_navigasi",
         F.transform("kategori", lambda k: k["url"]).alias("link_anak"), "meta_html",
-        F.lit(-1).alias("hop"), F.lit(-1).alias("pos"), F.lit("Home").alias("category"))
+        F.lit(-1).alias("hop"), F.lit(-1).alias("pos"), F.lit(HOME_NAME).alias("category"))
     order = [F.col("hop"), F.col("pos"), F.col("url")]
     items = first_items(top.unionByName(listing), order, item_limit)
     of_page = figures(judul=F.col("category"), **{c: F.col(c) for c in ("url", "kedalaman", "nomor_halaman", "jumlah_halaman")})

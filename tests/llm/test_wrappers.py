@@ -102,3 +102,60 @@ def test_long_pages_take_linear_time():
     for source in ("<p>" * 60_000, "<div><i>" * 30_000 + "x", "<a '>" * 40_000, "<" * 60_000, "<!--" * 40_000, "x</b>" * 40_000,
                    "<script>" + "</scrip" * 20_000, "<p>word</p>\n" * 40_000):
         assert re.sub(r"\s", "", w.Page(source).text(set())) is not None
+
+
+def test_wrappers_of_branches_match_what_either_matches():
+    rng = random.Random(2)
+    for _ in range(40):
+        layouts = [w.fold([rng.choice("abcdT") for _ in range(rng.randint(1, 25))]) for _ in range(12)]
+        parts = []
+        for n in range(3):
+            wrapper = None
+            for layout in layouts[n::3]:
+                wrapper = w.Wrapper(json.dumps(w.widened(wrapper, layout)), 0).items
+            parts.append(wrapper)
+        merged = w.Wrapper(json.dumps(w.aligned(w.aligned(parts[0], parts[1]), parts[2])), 0)
+        assert all(merged.matches(layout) for layout in layouts)
+
+
+def test_slots_choose_the_article_on_pages_without_marks(spark):
+    """No element or class word tells the article here: its box has the long, varying texts that are no links."""
+    rng = random.Random(3)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    rows, want = [], {}
+    for k in range(30):
+        title, parts = words(4), [words(rng.randint(10, 40)) for _ in range(rng.randint(2, 5))]
+        lead = words(5) if k % 2 else ""
+        rows.append((k, f"http://a.example/{k}", "<body><div class=x1><ul>" + "".join(f"<li><a href=/>{words(1)}</a></li>" for _ in range(5)) + "</ul></div>"
+                     + f"<div class=x2>{words(4)}</div><div class=x3><h1>{title}</h1>" + (f"<p>{lead}</p>" if lead else "") + "<div class=x4>"
+                     + "".join(f"<p>{x}</p>" for x in parts) + f"</div></div><div class=x5>{words(3)}</div><div class=x6>All rights are ours</div></body>"))
+        want[k] = "\n".join([title, *([lead] if lead else []), *parts])
+    assert {r.page_id: r.text for r in w.main_text(spark.createDataFrame(rows, PAGE)).collect()} == want
+    assert all(w.Page(html).text(set()) != want[k] for k, _, html in rows)  # the marks alone do not tell it
+
+
+def test_marks_check_what_slots_choose(spark):
+    text = "a long text that is different on page %d and goes on and on and on"
+    rows = [(k, f"http://a.example/{k}", f"<article><h1>Title {k}</h1><p>short {k}</p><div class=b><p>{text % k}</p></div></article><div class=z>z {k}</div>")
+            for k in range(5)]
+    rows += [(10 + k, f"http://b.example/{k}", f"<article><p>in {k}, that is long enough to count</p></article><div class=comments><p>{text % k} {text % k}</p></div>")
+             for k in range(5)]
+    rows += [(20 + k, f"http://c.example/{k}", f"<div class=z><article><a href=/>see {k}</a></article></div><div class=c><p>{text % k}</p><p>{text % (k + 7)}</p></div>")
+             for k in range(5)]
+    got = {r.page_id: r.text for r in w.main_text(spark.createDataFrame(rows, PAGE)).collect()}
+    for k in range(5):
+        assert got[k] == f"Title {k}\nshort {k}\n{text % k}"  # all of the article that its largest box stands in
+        assert got[10 + k] == f"in {k}, that is long enough to count"  # a box of comments is not taken
+        assert got[20 + k] == f"{text % k}\n{text % (k + 7)}"  # an article element that holds links only is none
+
+
+def test_layouts_of_a_host_are_aligned_in_branches(spark):
+    rng = random.Random(3)
+    forms = ["<p>t%d</p>", "<div><b>t%d</b></div>", "<ul><li>t%d</li><li>x</li></ul>", "<hr>t%d", "<i>t%d</i>", "<h2>t%d</h2>"]
+    rows = [(k, f"http://a.example/{k}", "<div id=top>x</div>" + "".join(rng.choice(forms) % j for j in range(rng.randint(5, 25)))) for k in range(200)]
+    (found,) = w.infer_wrappers(spark.createDataFrame(rows, PAGE)).collect()
+    assert found.pages == 200
+    own = w.Wrapper(found.wrapper, 200)
+    assert all(own.slots(w.Page(html)) for _, _, html in rows)

@@ -2,17 +2,23 @@
 
 Inference. A page's layout is its whole token stream, folded: immediate repeats of a group become ``(...)+``. Distinct layouts
 are counted per host first, so copies and pages of one layout cost one row. In rounds, up to ``ROUND_LAYOUTS`` layouts of a
-host (most pages first) that its wrapper does not match are aligned with it one after the other, until all match: what one side has and the
+host (most pages first) that its wrapper does not match are aligned in a tree, until all match: ``BRANCHES`` tasks align a part of them each, and
+their wrappers are aligned with each other and with the host's. What one side has and the
 other lacks becomes an optional group; two different repeats are aligned inside. The result has no unions, only tags, texts, slots,
 ``(...)?`` and ``(...)+``, and matches every layout aligned with it. Rounds go on until every layout of every host is matched; a round
 that matches none (its layouts need more than ``STATES`` steps) is the last, and what is left is counted in a warning.
-A last pass over all pages of the host keeps for each slot and each repeated group the texts that every page with it has there; if at
-least ``LEAST_PAGES`` different pages have it, those are template text, the rest is data.
+A last pass over all pages of the host keeps for each slot and each repeated group the texts that every page with it has there, the
+mean length of its text outside link lists, and the share of different texts (of a bounded sketch of the smallest digests). If at
+least ``LEAST_PAGES`` different pages have it, the texts of every page are template text, and length times share is its weight: how much long,
+varying, link-poor text a page has there.
 
 Extraction. Every page's layout is matched against its host's wrapper. The wrapper tells template text from data, in the article and
-around it; template text is dropped. Among data, the article is told by its container: the ``article`` elements, else ``main``, else
-the body; menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and hidden parts are left out by
-their elements, roles and class words. Where template text would be more than half of an article the containers decide alone: its
+around it; template text is dropped. The weights of its slots choose the article: the innermost box (``BOXES``) that has ``MOST`` of a page's weight,
+with the headings and paragraphs that stand directly in the boxes around it. Elements and class words are a check of that: a box that
+is marked as no part of an article is not taken; a box in or around ``article`` or ``main`` elements stands for all of
+these; elements of that name somewhere else are left out only where they have next to no weight. Without a choice (a host of few pages, nothing that
+varies, no such box) the article is the ``article`` elements, else ``main``, else the body. Menus, page headers, footers, sidebars, notices,
+adverts, forms, comments, scripts and hidden parts are left out by their elements, roles and class words in either case. Where template text would be more than half of an article the containers decide alone: its
 host's pages are copies.
 
 Each page is a row of its own; layouts and texts per slot are reduced in each partition before the shuffle. The wrappers
@@ -41,6 +47,10 @@ from pyspark.sql import functions as F
 from webtab.session import cut
 
 ROUND_LAYOUTS = 200
+BRANCHES = 8  # tasks that align the layouts of one host in a round
+SKETCH = 32  # smallest digests from which different texts and pages are counted
+MOST = 0.8  # share of a page's weight in the box of its article
+LITTLE = 0.05  # share of a page's weight below which an element named article is none
 LONGEST_GROUP = 24
 ALIGNED = 4_000_000  # items times items that are aligned in full
 STATES = 5_000_000  # steps of one match
@@ -53,6 +63,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("""address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead
     tr ul""".split())
+BOXES = frozenset("article body center div main section td".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog head button select option label input".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adslot sponsor sponsored promo promotion banner sidebar
@@ -124,19 +136,20 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.keys: list[str] = []  # one per tag, TEXT for texts
-        # token number, block, text, container level, outside, outside within the container
-        self.texts: list[tuple[int, int, str, int, bool, bool]] = []
-        stack: list[tuple[str, bool, bool, int]] = []
+        # token number, block, text, container level, outside, outside within the container, box, in a link, in a paragraph or heading
+        self.texts: list[tuple[int, int, str, int, bool, bool, int, bool, bool]] = []
+        self.boxes: list[tuple[int, bool, int, str]] = [(0, False, 0, "")]  # box around it, outside, level, name
+        stack: list[tuple[str, bool, bool, int, int]] = []
         names: dict[str, int] = {}
-        block = level = 0  # level: 2 in an article, 1 in main
+        block = level = box = links = prose = 0  # level: 2 in an article, 1 in main
         outside = inner = False
         for kind, name, attrs in tokens(source):
             if kind == "text":
                 if not name.isspace():
-                    self.texts.append((len(self.keys), block, name, level, outside, inner))
+                    self.texts.append((len(self.keys), block, name, level, outside, inner, box, links > 0, prose > 0))
                     self.keys.append(TEXT)
                 elif self.texts and self.texts[-1][1] == block:
-                    self.texts.append((-1, block, " ", level, outside, inner))
+                    self.texts.append((-1, block, " ", level, outside, inner, box, links > 0, prose > 0))
                 continue
             if name in BLOCKS:
                 block += 1
@@ -145,28 +158,96 @@ class Page:
                 self.keys.append(f"<{name}.{first[0]}>" if first else f"<{name}>")
                 if name in VOID:
                     continue
-                stack.append((name, outside, inner, level))
+                stack.append((name, outside, inner, level, box))
                 names[name] = names.get(name, 0) + 1
+                links += name == "a"
+                prose += name in PROSE
                 own = marked_outside(name, attrs, level) or (name == "header" and level == 0)
                 outside, inner = outside or own, level > 0 and (inner or own)
                 if not own:
                     level = max(level, 2 if name == "article" else 1 if name == "main" or attrs.get("role") == "main" else 0)
+                if name in BOXES:
+                    self.boxes.append((box, outside, level, name))
+                    box = len(self.boxes) - 1
             elif names.get(name):
                 self.keys.append(f"</{name}>")
                 while stack:
-                    top, outside, inner, level = stack.pop()
+                    top, outside, inner, level, box = stack.pop()
                     names[top] -= 1
+                    links -= top == "a"
+                    prose -= top in PROSE
                     if top == name:
                         break
             # an end tag of nothing open has no effect
 
-    def lines(self, template: set[int]) -> list[str]:
-        """The article's blocks; ``template``: numbers of the tokens that are template text."""
+    def prose(self) -> dict[int, int]:
+        """Characters of each text token; none in a block that is mostly links."""
+        size: dict[int, int] = {}
+        linked: dict[int, int] = {}
+        for _, block, text, *_, in_link, _ in self.texts:
+            size[block] = size.get(block, 0) + len(text)
+            if in_link:
+                linked[block] = linked.get(block, 0) + len(text)
+        return {t[0]: 0 if 2 * linked.get(t[1], 0) > size[t[1]] else len(t[2]) for t in self.texts if t[0] >= 0}
+
+    def article_box(self, weights: list[tuple[float, list[int]]]) -> tuple[int, list[float]] | None:
+        """The innermost box with ``MOST`` of the weight of (weight, text tokens), and the weight in each box."""
+        total = sum(weight for weight, _ in weights)
+        if not total:
+            return None
+        box_of = {t[0]: t[6] for t in self.texts}
+        held = [0.0] * len(self.boxes)
+        for weight, numbers in weights:
+            a, b = box_of[numbers[0]], box_of[numbers[-1]]
+            while a != b:  # a box has a larger number than the one around it
+                a, b = (self.boxes[a][0], b) if a > b else (a, self.boxes[b][0])
+            held[a] += weight
+        for n in range(len(held) - 1, 0, -1):
+            held[self.boxes[n][0]] += held[n]
+        return max(n for n, weight in enumerate(held) if weight >= MOST * total), held
+
+    def _within(self, box: int) -> list[bool]:
+        inside = [False] * len(self.boxes)
+        inside[box] = True
+        for n in range(box + 1, len(inside)):
+            inside[n] = inside[self.boxes[n][0]]
+        return inside
+
+    def marked_texts(self) -> list[tuple]:
+        """The article's texts by elements, roles and class words alone."""
         inside = [t for t in self.texts if not t[4]]
         if not any(t[0] >= 0 for t in inside):  # a class word of something around the article
             inside = [t for t in self.texts if t[3] and not t[5]]
         best = max((t[3] for t in inside), default=0)
-        inside = [t for t in inside if t[3] == best]
+        return [t for t in inside if t[3] == best]
+
+    def chosen_texts(self, weights: list[tuple[float, list[int]]]) -> list[tuple] | None:
+        """The article's texts by the weights of the wrapper's slots; None if they choose nothing or the marks speak against it."""
+        found = self.article_box(weights)
+        if not found or self.boxes[found[0]][3] in ("", "body"):
+            return None
+        (chosen, held), marked = found, self.marked_texts()
+        if self.boxes[chosen][1]:
+            return None
+        if self.boxes[chosen][2]:  # in an article: all of it, and articles like it
+            return marked
+        inside = self._within(chosen)
+        if marked and marked[0][3]:
+            if any(inside[t[6]] for t in marked):
+                return [t for t in marked if inside[t[6]]]
+            tops = {n for n, (around, _, level, _) in enumerate(self.boxes) if level and not self.boxes[around][2]}
+            if sum(held[n] for n in tops) >= LITTLE * held[0]:
+                return None
+        around, n = {0}, chosen
+        while n:
+            n = self.boxes[n][0]
+            around.add(n)
+        varying = {n for weight, numbers in weights if weight for n in numbers}
+        return [t for t in self.texts if not t[4] and (inside[t[6]] or t[6] in around and t[8] and not t[7] and (t[0] < 0 or t[0] in varying))]
+
+    def lines(self, template: set[int], weights: list[tuple[float, list[int]]] | None = None) -> list[str]:
+        """The article's blocks; ``template``: numbers of the tokens that are template text; ``weights``: of the wrapper's slots."""
+        inside = self.chosen_texts(weights or []) or self.marked_texts()
         fixed = sum(len(t[2]) for t in inside if t[0] in template)
         if 2 * fixed > sum(len(t[2]) for t in inside):  # copies of one page: what they share is their text
             template = set()
@@ -177,8 +258,8 @@ class Page:
         lines = (" ".join("".join(parts).split()) for parts in out.values())
         return [line for line in lines if line]
 
-    def text(self, template: set[int]) -> str:
-        return "\n".join(self.lines(template))
+    def text(self, template: set[int], weights: list[tuple[float, list[int]]] | None = None) -> str:
+        return "\n".join(self.lines(template, weights))
 
 
 def fold(items: list) -> list:
@@ -239,35 +320,33 @@ def _opcodes(a: list, b: list) -> Iterator[tuple[str, int, int, int, int]]:
         yield "equal", j, len(a), m, len(b)
 
 
-def aligned(wrapper: list, page: list) -> list:
-    """A wrapper that also matches ``page``. Items are [key, optional group or 0, template text or None]."""
-    names = max((w[1] for w in wrapper), default=0)
+def aligned(wrapper: list, other: list) -> list:
+    """A wrapper that matches what either matches. Items are [key, optional group or 0, template text or None].
+
+    An optional group of which the other side has a part is divided; so are two that overlap.
+    """
+    names = 0
     out: list = []
 
-    def named(items: list, start: int) -> list:
-        """An optional group of which the page has a part is divided."""
+    def add(items: list, groups: list[tuple[int, int]]) -> None:
         nonlocal names
-        last, now, own = None, 0, []
-        for key, group, said in items:
-            group = group or start
-            if group and group != last:
+        last = (0, 0)
+        for (key, said), group in zip(items, groups, strict=True):
+            if group != last and group != (0, 0):
                 names += 1
-                now = names
-            own.append([key, now if group else 0, said])
+            out.append([key, names if group != (0, 0) else 0, said])
             last = group
-        return own
 
-    for op, a, b, c, d in _opcodes([w[0] for w in wrapper], [p[0] for p in page]):
+    for op, a, b, c, d in _opcodes([w[0] for w in wrapper], [p[0] for p in other]):
+        own, new = wrapper[a:b], other[c:d]
         if op == "equal":
-            out += [[w[0], w[1], w[2] if w[2] == p[2] else None] for w, p in zip(named(wrapper[a:b], 0), page[c:d], strict=True)]
-            continue
-        if op == "replace" and b - a == d - c == 1 and wrapper[a][0][0] == page[c][0][0] == "+":
-            inner = aligned([[k, 0, None] for k in wrapper[a][0][1]], [[k, 0, None] for k in page[c][0][1]])
-            out += named([[("+", tuple(_grouped(inner))), wrapper[a][1], None]], 0)
-            continue
-        out += named(wrapper[a:b], -1)
-        names += 1
-        out += [[p[0], names, p[2]] for p in page[c:d]]
+            add([(w[0], w[2] if w[2] == p[2] else None) for w, p in zip(own, new, strict=True)], [(w[1], p[1]) for w, p in zip(own, new, strict=True)])
+        elif op == "replace" and b - a == d - c == 1 and own[0][0][0] == new[0][0][0] == "+":
+            inner = aligned(_flat(own[0][0][1]), _flat(new[0][0][1]))
+            add([(("+", tuple(_grouped(inner))), None)], [(own[0][1], new[0][1])])
+        else:
+            add([(w[0], w[2]) for w in own], [(w[1] or -1, 0) for w in own])
+            add([(p[0], p[2]) for p in new], [(0, p[1] or -1) for p in new])
     return out
 
 
@@ -379,7 +458,10 @@ class Wrapper:
     """A wrapper that tells the slots of pages; the third part of an item is its template text, or digests of several."""
 
     def __init__(self, stored: str | None, pages: int) -> None:
-        self.items = [[_tuples(key), group, said] for key, group, said in json.loads(stored or "[]")]
+        held = json.loads(stored or "[]")
+        held = held if isinstance(held, dict) else {"items": held, "weights": []}
+        self.items = [[_tuples(key), group, said] for key, group, said in held["items"]]
+        self._weights: dict[int, float] = dict(held["weights"])
         self._said = {i: {digest(said)} if isinstance(said, str) else set(said)
                       for i, (_, _, said) in enumerate(self.items) if said and pages >= LEAST_PAGES}
         self._fits: dict = {}
@@ -413,6 +495,11 @@ class Wrapper:
         return {n for i, numbers in self.slots(page) if i in self._said for n in numbers if digest(texts[n]) in self._said[i]}
 
 
+    def weights(self, page: Page) -> list[tuple[float, list[int]]]:
+        """(weight, numbers of its text tokens) of the slots of a page; none if the wrapper does not match."""
+        return [(self._weights.get(i, 0.0), numbers) for i, numbers in self.slots(page)] if self._weights else []
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host of an absolute address, else empty."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
@@ -448,11 +535,19 @@ def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _widen(key, table):
-    rows = sorted(table.select(["nth", "layout"]).to_pylist(), key=lambda r: r["nth"])
-    stored = table.column("wrapper")[0].as_py()
-    wrapper = None if stored is None else Wrapper(stored, 0).items
-    for row in rows:
+    """A wrapper of some layouts of a host."""
+    wrapper = None
+    for row in sorted(table.select(["nth", "layout"]).to_pylist(), key=lambda r: r["nth"]):
         wrapper = widened(wrapper, [_tuples(x) for x in json.loads(row["layout"])])
+    return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "branch": pa.array([key[1].as_py()], pa.int32()), "wrapper": [json.dumps(wrapper)]})
+
+
+def _merge(key, table):
+    """One wrapper of those of a host's branches."""
+    rows = sorted(table.select(["branch", "wrapper"]).to_pylist(), key=lambda r: r["branch"])
+    wrapper, *others = [Wrapper(row["wrapper"], 0).items for row in rows]
+    for other in others:
+        wrapper = aligned(wrapper, other)
     return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "wrapper": [json.dumps(wrapper)]})
 
 
@@ -468,17 +563,24 @@ def _unmatched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["host", "layout", "n"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _constants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host and item of its wrapper: digests of the texts that all pages of this partition have there, and up to ``LEAST_PAGES`` pages."""
+def _smallest(digests: set[int]) -> set[int]:
+    return set(sorted(digests)[:SKETCH])
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each host and item of its wrapper: digests of the texts that all pages of this partition have there, its pages, their characters
+    outside link lists, and the smallest digests of its texts and of its pages."""
     compiled: dict[str, Wrapper] = {}
-    found: dict[tuple[str, int], tuple[set[int], set[int]]] = {}
-    kinds = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    found: dict[tuple[str, int], list] = {}
+    many = pa.list_(pa.int64())
+    kinds = (pa.string(), pa.int32(), many, pa.int64(), pa.int64(), many, many)
 
     def out() -> pa.RecordBatch:
-        rows = [(host, slot, sorted(said), sorted(pages)) for (host, slot), (said, pages) in found.items()]
+        rows = [(host, slot, sorted(said), n, chars, sorted(_smallest(texts)), sorted(_smallest(seen)))
+                for (host, slot), (said, n, chars, texts, seen) in found.items()]
         found.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                          names=["host", "slot", "said", "seen"])
+                                          names=["host", "slot", "said", "n", "chars", "texts", "seen"])
     for batch in batches:
         for host, source, wrapper in zip(batch.column("host").to_pylist(), batch.column("html"), batch.column("wrapper"), strict=True):
             html, key = source.as_py(), wrapper.as_py()
@@ -487,23 +589,42 @@ def _constants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     compiled.clear()
                 compiled[key] = Wrapper(key, 0)
             page = Page(html)
-            texts = {n: t for n, _, t, *_ in page.texts if n >= 0}
-            whole = digest(html)
+            texts = {t[0]: digest(t[2]) for t in page.texts if t[0] >= 0}
+            chars, whole = page.prose(), digest(html)
             for slot, numbers in compiled[key].slots(page):
+                own = [texts[n] for n in numbers]
+                said = own[0] if len(own) == 1 else hash(tuple(own))
                 at = found.get((host, slot))
                 if at is None:
-                    found[host, slot] = {digest(texts[n]) for n in numbers}, {whole}
+                    found[host, slot] = [set(own), 1, sum(chars[n] for n in numbers), {said}, {whole}]
                     continue
                 if at[0]:
-                    at[0].intersection_update([digest(texts[n]) for n in numbers])
-                if len(at[1]) < LEAST_PAGES:
-                    at[1].add(whole)
-            if len(found) > HELD:
+                    at[0].intersection_update(own)
+                at[1] += 1
+                at[2] += sum(chars[n] for n in numbers)
+                for k, value in ((3, said), (4, whole)):
+                    at[k].add(value)
+                    if len(at[k]) > 2 * SKETCH:
+                        at[k] = _smallest(at[k])
+            if len(found) > HELD // 10:
                 yield out()
     if found:
         yield out()
 
 
+def _united(parts: DataFrame, *keys: str) -> DataFrame:
+    """Sums of the figures of slots by ``keys``; sketches stay at ``SKETCH`` digests."""
+    def sketch(name: str) -> Column:
+        return F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))), 1, SKETCH).alias(name)
+    return parts.groupBy(*keys).agg(F.sum("parts").alias("parts"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), sketch("texts"), sketch("seen"))
+
+
+def _different(sketch: Column) -> Column:
+    """How many different digests there were: exact below ``SKETCH``, else from the largest kept."""
+    share = (F.element_at(sketch, -1).cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+    return F.when(F.size(sketch) < SKETCH, F.size(sketch).cast("double")).otherwise((SKETCH - 1) / share)
+
+
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) to (host, wrapper, pages): one row per host."""
     rows = pages.where("html is not null").select(host_of(F.col("url")).alias("host"), "html")
@@ -512,12 +633,12 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     first = Window.partitionBy("host").orderBy(F.desc("n"), "layout")
     wrappers, before = None, None
     while True:
-        picked = waiting.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= ROUND_LAYOUTS)
-        picked = (picked.withColumn("wrapper", F.lit(None).cast("string")) if wrappers is None else picked.join(wrappers, "host"))
-        wider = picked.groupBy("host").applyInArrow(_widen, "host string, wrapper string")
-        if wrappers is not None:
-            wider = wider.unionByName(wrappers.join(waiting.select("host").distinct(), "host", "left_anti"))
-        wrappers = cut(wider, "wrappers")
+        picked = (waiting.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= ROUND_LAYOUTS)
+                  .withColumn("branch", F.col("nth") % BRANCHES))
+        wider = picked.groupBy("host", "branch").applyInArrow(_widen, "host string, branch int, wrapper string")
+        if wrappers is not None:  # hosts without a new layout have only this row
+            wider = wider.unionByName(wrappers.select("host", F.lit(-1).alias("branch"), "wrapper"))
+        wrappers = cut(wider.groupBy("host").applyInArrow(_merge, "host string, wrapper string"), "wrappers")
         waiting = cut(waiting.join(wrappers, "host").mapInArrow(_unmatched, "host string, layout string, n long"), "unmatched")
         left = waiting.agg(F.count("*").alias("layouts"), F.sum("n").alias("pages")).first()
         if left["layouts"] in (0, before):
@@ -525,23 +646,29 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         before = left["layouts"]
     if left["layouts"]:
         logging.getLogger(__name__).warning("%d layouts of %d pages match no wrapper", left["layouts"], left["pages"])
+    many = "array<long>"
     parts = cut(rows.join(wrappers, "host").select("host", "html", "wrapper")
-                .mapInArrow(_constants, "host string, slot int, said array<long>, seen array<long>"), "slots")
-    asked = parts.groupBy("host", "slot").agg(F.count("*").alias("parts"), F.size(F.array_distinct(F.flatten(F.collect_list("seen")))).alias("seen"))
+                .mapInArrow(_slots, f"host string, slot int, said {many}, n long, chars long, texts {many}, seen {many}")
+                .withColumn("parts", F.lit(1)).withColumn("piece", F.spark_partition_id() % 64), "slots")
+    figures = cut(_united(_united(parts, "host", "slot", "piece"), "host", "slot"), "figures").where(F.size("seen") >= LEAST_PAGES)
     said = (parts.select("host", "slot", F.explode("said").alias("said")).groupBy("host", "slot", "said").agg(F.count("*").alias("had"))
-            .join(asked, ["host", "slot"]).where((F.col("had") == F.col("parts")) & (F.col("seen") >= LEAST_PAGES))
+            .join(figures.select("host", "slot", "parts"), ["host", "slot"]).where(F.col("had") == F.col("parts"))
             .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "said"))).alias("said")))
+    varying = F.least(F.lit(1.0), _different(F.col("texts")) / _different(F.col("seen")))
+    weights = (figures.select("host", "slot", (F.col("chars") / F.col("n") * F.when(F.size("texts") > 1, varying).otherwise(0.0)).alias("weight"))
+               .groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "weight"))).alias("weights")))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for stored, texts in zip(batch.column("wrapper").to_pylist(), batch.column("said").to_pylist(), strict=True):
+            for stored, texts, slots in zip(*(batch.column(c).to_pylist() for c in ("wrapper", "said", "weights")), strict=True):
                 items = json.loads(stored)
                 for x in texts or []:
                     items[x["slot"]][2] = [*(items[x["slot"]][2] or []), x["said"]]
-                out.append(json.dumps(items))
+                out.append(json.dumps({"items": items, "weights": [(x["slot"], round(x["weight"], 3)) for x in slots or []]}))
             yield pa.record_batch([batch.column("host"), pa.array(out, pa.string()), batch.column("pages")], names=["host", "wrapper", "pages"])
-    return wrappers.join(said, "host", "left").join(sizes, "host").mapInArrow(fill, "host string, wrapper string, pages int")
+    return (wrappers.join(said, "host", "left").join(weights, "host", "left").join(sizes, "host")
+            .mapInArrow(fill, "host string, wrapper string, pages int"))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -554,7 +681,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(compiled) >= 1000:
                     compiled.clear()
                 compiled[key] = Wrapper(*key)
-            out.append(page.text(compiled[key].template(page)))
+            out.append(page.text(compiled[key].template(page), compiled[key].weights(page)))
         yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 
 

@@ -39,6 +39,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -271,21 +272,22 @@ def folded(items: list) -> tuple[list, list[int]]:
     """``fold``, and how many tokens each item covers."""
     sizes = [1] * len(items)
     for size in range(1, LONGEST_GROUP + 1):
-        out, covers, i, n = [], [], 0, len(items)
-        while i < n:
-            group = items[i:i + size]
-            j = i + size
-            while j + size <= n and items[j:j + size] == group:
+        again = bytes(map(eq, items, items[size:]))  # which items are the same ``size`` further on
+        whole = b"\1" * size
+        at = again.find(whole)
+        if at < 0:
+            continue
+        out, covers, i = [], [], 0
+        while at >= 0:
+            group, j = items[at:at + size], at + size
+            while items[j:j + size] == group:
                 j += size
-            if j > i + size:
-                out.append(("+", tuple(group)) if not (size == 1 and group[0][0] == "+") else group[0])
-                covers.append(sum(sizes[i:j]))
-                i = j
-            else:
-                out.append(items[i])
-                covers.append(sizes[i])
-                i += 1
-        items, sizes = out, covers
+            out += items[i:at]
+            covers += sizes[i:at]
+            out.append(("+", tuple(group)) if not (size == 1 and group[0][0] == "+") else group[0])
+            covers.append(sum(sizes[at:j]))
+            i, at = j, again.find(whole, j)
+        items, sizes = out + items[i:], covers + sizes[i:]
     return items, sizes
 
 

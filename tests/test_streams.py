@@ -1,13 +1,16 @@
 import datetime
+import os
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from webtab.operators import graph
 from webtab.operators.progress import BatchTotals
 from webtab.operators.stages import clean, valid_items
 from webtab.plans import books, generic
+from webtab.queries import QUERIES
 from webtab.schemas import PAGES
 from webtab.session import scratch_path
 from webtab.sources.pages import seed_urls, stream_pages
@@ -93,6 +96,19 @@ def test_metrics_of_micro_batches(spark):
     assert {r.batch for r in told} == {0, 1, 2} and {r.name for r in told} == {"items"} and sum(r.links for r in told) == 15
 
 
+@pytest.mark.parametrize("name", ["q_stream_chain", "q_stream_counts", "q_stream_dedup", "q_stream_extract", "q_stream_metrics"])
+def test_stream_over_a_table_of_several_files(spark, name):
+    """A page table may be a folder of part files, or one file."""
+    folder, single = scratch_path(spark, "tables"), scratch_path(spark, "table")
+    rows = [(k, f"http://x/{k}", f"<html lang='en'><title>t{k}</title><a href='y'></a>") for k in range(6)]
+    pages = spark.createDataFrame(rows, PAGES)
+    pages.repartition(3).write.parquet(f"{folder}/pages.parquet")
+    os.mkdir(single)
+    pages.toPandas().to_parquet(f"{single}/pages.parquet")
+    parts, whole = ([tuple(r) for r in QUERIES[name](spark, f).collect()] for f in (folder, single))
+    assert sorted(parts) == sorted(whole) and parts
+
+
 def visits_by_hand(batches, idle, delay):
     """Rows (key, seconds, referrer) of each batch; visits that the last watermark has passed."""
     mark, kept = 0, []

@@ -365,7 +365,7 @@ def q_item_stats(spark, d):
 
 # ---- streams --------------------------------------------------------------------------
 def _page_stream(spark, d):
-    return src.stream_pages(spark, d, "pages.parquet")
+    return src.stream_page_table(spark, f"{d}/pages.parquet")
 
 
 def q_stream_extract(spark, d):

@@ -33,6 +33,14 @@ def stream_pages(spark: SparkSession, folder: str, glob: str = "*.parquet",
     return reader.parquet(folder)
 
 
+def stream_page_table(spark: SparkSession, path: str) -> DataFrame:
+    """A page table as a stream, whether it is one file or a folder of part files.
+
+    Streams take a folder or a pattern, so the path is given as a pattern that only it matches.
+    """
+    return stream_pages(spark, f"{path[:-1]}[{path[-1]}]", "*")
+
+
 def seed_urls(spark: SparkSession, urls: list[str]) -> DataFrame:
     """A fixed list of start pages as ``(url, seed_no)``.
 

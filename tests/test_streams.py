@@ -146,6 +146,17 @@ def test_visits_with_late_rows(spark):
     assert got == visits_by_hand(batches, 800, 3600) and ("join", 100_100, 101_500, "r1", 3) in got
 
 
+def test_visits_in_a_session_that_names_no_state_store(spark):
+    plain, key = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    plain.conf.unset(key)
+    folder, out, state = (scratch_path(plain, k) for k in ("in", "out", "state"))
+    rows = [("a", datetime.datetime(2024, 1, 1, hour, tzinfo=datetime.UTC), "r") for hour in (1, 2, 9)]
+    plain.createDataFrame(rows, "key string, ts timestamp, referrer string").coalesce(1).write.parquet(folder)
+    events = plain.readStream.schema("key string, ts timestamp, referrer string").parquet(folder)
+    stream.write_batches(visits(events, "key", "ts", "referrer", "2 hours", "1 hour"), out, state).awaitTermination()
+    assert [(r.key, r.n) for r in plain.read.parquet(out).collect()] == [("a", 2)]
+
+
 def test_walk_goes_on_as_pages_arrive(spark):
     """The pages of a walk in any order, over several micro-batches and restarts, against the batch walk."""
     rng = random.Random(12)

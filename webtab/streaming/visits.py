@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # the code of the tasks travels with them
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VISIT = "key string, first_seen timestamp, first_referrer string, last_seen timestamp, n long"
+OPEN = "start array<long>, end array<long>, referrer array<string>, n array<long>"
 
 
 def _merged(spans: list[list], idle: int) -> list[list]:
@@ -29,58 +30,33 @@ def _merged(spans: list[list], idle: int) -> list[list]:
     return out
 
 
-class Visits(StatefulProcessor):
-    """Open visits of a key as a map from their start to end, first referrer and number of rows, in microseconds.
+def _visits_of(idle: int) -> Callable[..., Iterator[pd.DataFrame]]:
+    """What is done with a key: its state are the open visits, as lists of their starts, ends, first referrers and numbers of rows (microseconds).
 
     A late row may lie between two open visits and join them, so a visit is only given out when the watermark has
-    passed its end by ``idle``: a timer waits for that, and then the key forgets the visit.
+    passed its end by ``idle``: the key's timeout waits for the first such end, and the key forgets the visit.
     """
-
-    def __init__(self, idle: int) -> None:
-        self.idle = idle
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "start long", "end long, referrer string, n long")
-
-    def _held(self) -> list[list]:
-        return [[start[0], *value] for start, value in self.open.iterator()]
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        limit = timerValues.getCurrentWatermarkInMs() * 1000
-        held = self._held()
-        spans = list(held)
-        for part in rows:
-            for at, referrer in zip(part["at"].tolist(), part["referrer"].tolist(), strict=True):
-                if at > limit:          # older rows come too late
-                    spans.append([at, at, referrer, 1])
-        now = _merged(spans, self.idle)
-        for start in {s[0] for s in held} - {s[0] for s in now}:
-            self.open.removeKey((start,))
-        due = {self._due(s) for s in now}
-        timers = set(self.handle.listTimers())
-        for timer in timers - due:
-            self.handle.deleteTimer(timer)
-        for timer in due - timers:
-            self.handle.registerTimer(timer)
-        for start, end, referrer, n in now:
-            self.open.updateValue((start,), (end, referrer, n))
-        yield from ()
-
-    def _due(self, span: list) -> int:
-        return -(-(span[1] + self.idle) // 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        done = [s for s in self._held() if self._due(s) <= expiredTimerInfo.getExpiryTimeInMs()]
-        for span in done:
-            self.open.removeKey((span[0],))
+    def due(span: list) -> int:
+        return -(-(span[1] + idle) // 1000)
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mark = state.getCurrentWatermarkMs()
+        spans = [list(s) for s in zip(*state.get, strict=True)] if state.exists else []
+        for part in parts:
+            # rows at the watermark or before it come too late
+            spans += [[at, at, referrer, 1] for at, referrer in zip(part["at"].tolist(), part["referrer"].tolist(), strict=True) if at > mark * 1000]
+            spans = _merged(spans, idle)
+        done, left = [s for s in spans if due(s) <= mark], [s for s in spans if due(s) > mark]
+        if left:
+            state.update(tuple(map(list, zip(*left, strict=True))))
+            state.setTimeoutTimestamp(min(map(due, left)))
+        elif state.exists:
+            state.remove()
         if done:
             start, end, referrer, n = zip(*done, strict=True)
             yield pd.DataFrame({"key": [key[0]] * len(done), "first_seen": pd.to_datetime(list(start), unit="us"), "first_referrer": list(referrer),
                                 "last_seen": pd.to_datetime(list(end), unit="us"), "n": list(n)})
-
-    def close(self) -> None:
-        pass
+    return run
 
 
 def visits(stream: DataFrame, key: str, event_time: str, referrer: str, idle: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
@@ -93,4 +69,4 @@ def visits(stream: DataFrame, key: str, event_time: str, referrer: str, idle: st
     rows = (stream.withWatermark(event_time, delay).filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
             .select(F.col(key).cast("string").alias("key"), F.col(event_time), F.unix_micros(event_time).alias("at"),
                     F.col(referrer).cast("string").alias("referrer")))
-    return rows.groupBy("key").transformWithStateInPandas(Visits(span), VISIT, "append", "eventTime")
+    return rows.groupBy("key").applyInPandasWithState(_visits_of(span), VISIT, OPEN, "append", GroupStateTimeout.EventTimeTimeout)

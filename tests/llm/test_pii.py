@@ -105,3 +105,13 @@ def test_short_ip_with_other_separators_is_added(docs):
     rows += [(5000, "host 10 0 0 1 is up"), (5001, "host 10-0-0-12 is up"), (5002, "host 10 0 0 is up"), (5003, "host 10 0 0 999 is up")]
     got = {r.doc_id: r.spans for r in pii.digests(pii.personal_data(docs(rows))).collect()}
     assert [got[k] for k in range(5000, 5004)] == ["ip:5:13", "ip:5:14", "", ""]
+
+
+def test_all_documents_are_learned_from(spark, monkeypatch):
+    """Every candidate counts in the fit, however many documents there are."""
+    learned, fit = [], pii.fit
+    monkeypatch.setattr(pii, "fit", lambda rows: learned.extend(rows) or fit(rows))
+    docs = spark.range(45_000).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, '+', 'no '), '49 30 1234 5', 100 + id % 800) AS text")
+    found = pii.personal_data(docs)
+    assert sum(sum(r[1:]) for r in learned) == 45_000 == found.count()
+    assert found.where("size(base) = 1").count() == 22_500

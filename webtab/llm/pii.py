@@ -6,9 +6,9 @@ separators, and addresses whose ``@`` and dots are written out. Candidates get f
 (groups, digits, separators, checksum, byte ranges) and context (characters beside, words before); the
 mark that a base pattern insists on (``+``, ``@``) is no feature, nor are the separators' kinds, so
 what has the form of a base span without that mark can be found. Trees are boosted on candidates
-that hold a base span against the others, from about ``SAMPLE_DOCS`` documents chosen by a hash of doc_id and
-merged into distinct feature rows by the cluster. The threshold is calibrated on the candidates of the
-sample's second half: the lowest score from which on at least ``PRECISION`` of them are right. The
+that hold a base span against the others, in one half of all documents (by a hash of doc_id), which the cluster
+merges into distinct feature rows. The threshold is calibrated on the candidates of the
+other half: the lowest score from which on at least ``PRECISION`` of them are right. The
 trees become nested ``CASE`` expressions. Candidates that pass and touch no base span are
 added, of overlapping ones the best, with the kind their form has.
 
@@ -31,9 +31,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webtab.llm.folds import drawn
+from webtab.session import cut
 
-SAMPLE_DOCS = 20_000
 TREES = 12
 DEPTH = 3
 RATE = 0.5
@@ -217,12 +216,14 @@ def with_candidates(rows: DataFrame) -> DataFrame:
         parts = F.array_join(runs, ".")
         if form:
             runs = F.array().cast("array<string>")
-        feats = [n, F.size(runs), F.length(F.coalesce(F.try_element_at(runs, F.lit(1)), F.lit(""))),
-                 F.length(F.coalesce(F.try_element_at(runs, F.lit(-1)), F.lit(""))),
+        # no kind has so many digits: distinct features stay few whatever the texts
+        most_of = lambda x: F.least(x, F.lit(40))
+        feats = [most_of(n), most_of(F.size(runs)), most_of(F.length(F.coalesce(F.try_element_at(runs, F.lit(1)), F.lit("")))),
+                 most_of(F.length(F.coalesce(F.try_element_at(runs, F.lit(-1)), F.lit("")))),
                  F.when(n.between(12, 19), luhn_ok(digits)).otherwise(False).cast("int"),
                  ((F.size(runs) == 4) & octets_ok(parts)).cast("int"),
                  F.lit(form), (before.rlike(r"[0-9A-Za-z]$") | after.rlike("^[0-9A-Za-z]")).cast("int"),
-                 before.rlike(HINTS).cast("int"), F.least(F.length(match), F.lit(40))]
+                 before.rlike(HINTS).cast("int"), most_of(F.length(match))]
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"),
             # a base span from one before the start on that ends in time; one that begins before the end and ends after the start
@@ -317,12 +318,10 @@ def fit(rows: list[tuple[dict, int, int, int, int]]) -> Forest:
     return forest
 
 
-def learn(rows: DataFrame) -> Forest:
-    """Fit on candidates of a bounded sample of documents; the driver gets distinct feature rows with counts."""
-    there = rows.agg(F.count("*").alias("n")).first()["n"]
-    picked = rows.where(drawn(F.coalesce("doc_id", F.lit(0)), SAMPLE_DOCS, F.lit(there)))
+def learn(described: DataFrame) -> Forest:
+    """Fit on the candidates of all documents (``doc_id, candidates``); the driver gets distinct feature rows with counts."""
     half = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)) == 0
-    each = with_candidates(with_base(picked)).select(half.alias("half"), F.inline("candidates"))
+    each = described.select(half.alias("half"), F.inline("candidates"))
 
     def count(first: bool, holds: bool) -> Column:
         return F.count(F.when((F.col("half") == first) & (F.col("holds") == holds), 1))
@@ -338,13 +337,11 @@ def _joined(spans: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, base and spans (arrays of start, rank, end, kind)."""
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    forest = learn(source)
-    rows = with_base(source)
+    """One row per row of ``docs``: doc_id, base and spans (arrays of start, rank, end, kind). The texts are scanned once."""
+    rows = cut(with_candidates(with_base(docs, id_col, text_col)).select("doc_id", "base", "candidates"), "pii-candidates")
+    forest = learn(rows)
     if forest.threshold is None:
         return rows.select("doc_id", "base", F.col("base").alias("spans"))
-    rows = with_candidates(rows)
     scored = F.transform("candidates", lambda s: F.struct(
         (-forest.expression(s)).alias("order"), s["start"].alias("start"), s["end"].alias("end"),
         F.when(s["letters"] == 1, 0).when(s["octets"] == 1, 1).when(s["luhn"] == 1, 2).otherwise(3).alias("rank"), s["touches"].alias("touches")))

@@ -81,6 +81,22 @@ def test_a_large_level_moves_and_the_links_stay(spark, monkeypatch):
     assert len(plans) == 3 and all("SortMergeJoin" in p and "Exchange hashpartitioning" not in p for p in plans)
 
 
+def test_links_to_visited_pages_are_not_written_whole(spark, monkeypatch):
+    """Of a level's links only the addresses that the filter is in doubt about are written and compared with the visited pages."""
+    edges = spark.range(3000).selectExpr("concat('n', id % 500) AS src", "concat('n', id * 7 % 491) AS dst", "id AS pos")
+    monkeypatch.setattr(graph, "FILTERED", 0)
+    written, original = [], graph.cut
+
+    def watch(df, label):
+        out = original(df, label)
+        if label == "bfs-links":
+            written.append(out)
+        return out
+    monkeypatch.setattr(graph, "cut", watch)
+    nodes, _ = graph.bfs(edges, seed_urls(spark, ["n1"]), None, 3)
+    assert nodes.count() > 100 and len(written) == 3 and all(len(w.columns) == 1 for w in written)
+
+
 def test_a_deep_walk_reads_the_pages_twice(spark):
     pages = spark.range(60).selectExpr("id AS page_id", "concat('http://a.example/', id) AS url",
                                        "concat('<a href=\"/', id + 1, '\">n</a>') AS html")

@@ -70,13 +70,14 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
     """
     spark = edges.sparkSession
     probed = "probe" in edges.columns
-    e = edges.select("src", "dst", "pos", F.col("probe" if probed else "dst").alias("probe"))
+    own = ["dst", "pos", *(["probe"] if probed else [])]
+    e = edges.select("src", *own)
     # at most one hot page for every HOT_LINKS links
     hot = e.groupBy("src").agg(F.ceil(F.count("*") / F.lit(HOT_LINKS)).cast("int").alias("pieces")).filter(F.col("pieces") > 1)
     divided, e = not hot.isEmpty(), e.distinct()
     if divided:
         hot = cut(hot, "hot-pages")
-        piece = F.pmod(F.xxhash64("dst", "pos", "probe"), F.coalesce("pieces", F.lit(1)))
+        piece = F.pmod(F.xxhash64(*own), F.coalesce("pieces", F.lit(1)))
         e = e.join(hot, "src", "left").withColumn("key", _piece_key(F.col("src"), piece)).drop("pieces", "src")
     else:
         e = e.withColumnRenamed("src", "key")
@@ -89,7 +90,8 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_links: int | None = 5, max_depth
             keyed = frontier.join(hot.withColumnRenamed("src", "url"), "url", "left").withColumn(
                 "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)))
             frontier = keyed.select("url", "seed_no", "path", _piece_key(F.col("url"), F.col("_piece")).alias("key"))
-        return frontier.join(links.read(None if divided else names), "key").drop("key")
+        found = frontier.join(links.read(None if divided else names), "key").drop("key")
+        return found if probed else found.withColumn("probe", F.col("dst"))
 
     try:
         return _levels(seeds, visit, lambda found: _existing(found, nodes), edges.schema["pos"].dataType.simpleString(), probed,
@@ -167,7 +169,7 @@ def _levels(seeds: DataFrame, visit: Callable[[DataFrame, list[str] | None], Dat
                 fresh = level if seen else visited.read()
                 seen = seen or AddressFilter(spark)
                 seen.add(fresh, "url")
-                links = new_links(cut(seen.tested(links, "probe"), "bfs-links"), visited.read())
+                links = _unvisited(seen.tested(links, "probe"), visited.read())
             if max_links is not None:
                 links = first_per_group(links, "url", F.col("pos"), max_links)
             offer = cut(links, "bfs-offer")
@@ -192,6 +194,18 @@ def new_links(links: DataFrame, visited: DataFrame) -> DataFrame:
     return sure.unionByName(doubt.join(visited.select(F.col("url").alias("_seen")), F.col("probe") == F.col("_seen"), "left_anti"))
 
 
+def _unvisited(links: DataFrame, visited: DataFrame) -> DataFrame:
+    """The same as ``new_links`` where nearly all links may lead to visited pages: links are not moved, nor written, to find that out.
+
+    The probes that the filter is in doubt about are written alone and the different ones compared with the visited pages. Those that
+    stay are the few that the filter was wrong about, as a rule, and the links are read again for them.
+    """
+    probes = cut(links.filter("doubtful").select("probe"), "bfs-links")
+    new = cut(new_links(probes.distinct().withColumn("doubtful", F.lit(True)), visited), "bfs-new")
+    sure, doubt = (links.filter(test).drop("doubtful") for test in (~F.col("doubtful"), F.col("doubtful")))
+    return sure if new.isEmpty() else sure.unionByName(doubt.join(new, "probe", "left_semi"))
+
+
 def _existing(found: DataFrame, nodes: DataFrame | None) -> DataFrame:
     if nodes is None:
         return found

@@ -238,7 +238,7 @@ def q_bfs_full(spark, d):
 def q_bfs_hub(spark, d):
     """One page that links to all others and is linked by all: a third of all links at either end."""
     edges = render.supplier_part_links(table(spark, d, "lineitem"))
-    names = edges.select(F.col("src").alias("n")).distinct()
+    names = cut(edges.select(F.col("src").alias("n")).distinct(), "hub-names")
     hub = F.lit("a_hub")
     edges = (edges.unionByName(names.select(hub.alias("src"), F.col("n").alias("dst"), F.col("n").alias("pos")))
              .unionByName(names.select(F.col("n").alias("src"), hub.alias("dst"), hub.alias("pos"))))

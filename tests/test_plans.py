@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from webtab.operators import graph
 from webtab.operators.shred import shred
 from webtab.plans import articles, books, generic
+from webtab.schemas import PAGES
 from webtab.session import cut, scratch_path
 from webtab.sources.pages import on_hosts, seed_urls
 
@@ -81,6 +82,16 @@ def test_a_large_level_moves_and_the_links_stay(spark, monkeypatch):
     assert len(plans) == 3 and all("SortMergeJoin" in p and "Exchange hashpartitioning" not in p for p in plans)
 
 
+def test_products_of_repeated_pages_are_not_compared(spark):
+    """Which page row counts is settled on narrow rows, so no task sorts whole products; each product comes once."""
+    card = "<article class='product_pod'><h3><a title='t' href='x{0}'></a></h3><p class='price_color'>1</p></article>"
+    pages = [(k, books.START_URLS[0], "".join(card.format(f"{k}-{n}") for n in range(3))) for k in (1, 1, 1, 2)]
+    got = books.crawl_books(spark.createDataFrame(pages + [(1, books.START_URLS[0], card.format("other"))], PAGES))
+    assert "first(judul" not in text(got) and "first(kategori" not in text(got)
+    urls = sorted(r.url.rsplit("/", 1)[1] for r in got.collect())
+    assert urls in (["x1-0", "x1-1", "x1-2"], ["xother"])
+
+
 def test_links_to_visited_pages_are_not_written_whole(spark, monkeypatch):
     """Of a level's links only the addresses that the filter is in doubt about are written and compared with the visited pages."""
     edges = spark.range(3000).selectExpr("concat('n', id % 500) AS src", "concat('n', id * 7 % 491) AS dst", "id AS pos")

@@ -78,11 +78,11 @@ def walk_books(pages: DataFrame, start_urls: list[str] | None = None,
     """Records of all listing pages on the next-page chain from the start pages, and a row with the progress of each page."""
     start_urls, domains = start_urls or START_URLS, domains or DOMAINS
     # one parse; the walk and the records read different columns of the result
-    listings = shred_listings(numbered(on_hosts(pages, domains)), KEEP_COPY)
+    listings = shred_listings(numbered(on_hosts(pages, domains)).withColumn("row", F.monotonically_increasing_id()), (*KEEP_COPY, "row"))
     link = F.get(F.filter(LISTING.els("next_link"), lambda x: x["attrs"]["href"].isNotNull()),
                  F.lit(0))
     table = cut(listings.select(
-        "page_id", "copy", F.col("url").alias("page_url"), "frag", *book_columns(),
+        "page_id", "copy", "row", F.col("url").alias("page_url"), "frag", *book_columns(),
         F.when(link["attrs"]["href"] != "", link["href_abs"]).alias("next_url")), "listings")
     edges = (table.filter(F.col("frag") == 0)
              .select(F.col("page_url").alias("src"), F.col("next_url").alias("dst"), "page_id"))
@@ -90,7 +90,7 @@ def walk_books(pages: DataFrame, start_urls: list[str] | None = None,
         F.lit(0).alias("seed"), "url")
     chain = (follow_chain(edges, seeds).groupBy(F.col("url").alias("page_url"))
              .agg(F.min("hop").alias("hop")))
-    rows = first_copy_parts(table, chain, "page_url", "frag")
+    rows = first_copy_parts(table, chain, "page_url", "row")
     order = [F.col("hop"), F.col("page_url"), F.col("frag")]
     items = first_items(rows.filter(F.col("frag") > 0), order, item_limit)
     visited = rows.filter(F.col("frag") == 0)

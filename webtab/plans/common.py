@@ -33,10 +33,12 @@ def first_copies(records: DataFrame, walked: DataFrame, key: str) -> DataFrame:
     return chosen.select(key, "c.*").drop("copy").join(walked, key)
 
 
-def first_copy_parts(records: DataFrame, walked: DataFrame, key: str, part: str) -> DataFrame:
-    """The same for pages that are several records each, told apart by ``part``."""
-    found = records.select(key, "page_id", "copy").join(walked.select(key), key)
-    chosen = (found.groupBy(key).agg(F.min(F.struct("page_id", "copy")).alias("c"))
-              .select(key, "c.page_id", "c.copy"))
-    # equal rows of the page table have equal copies
-    return records.join(chosen, [key, "page_id", "copy"]).dropDuplicates([key, part]).drop("copy").join(walked, key)
+def first_copy_parts(records: DataFrame, walked: DataFrame, key: str, row: str) -> DataFrame:
+    """The same for pages that are several records each; ``row`` tells the rows of the page table apart in written records.
+
+    The choice among pages, with what the walk knows of them, is made on narrow rows. The records are joined to it once, and not compared.
+    """
+    found = records.select(key, "page_id", "copy", row).distinct().join(walked.select(key), key)
+    chosen = (found.groupBy(key).agg(F.min(F.struct("page_id", "copy", row)).alias("c"))
+              .select(key, F.col("c")[row].alias(row)).join(walked, key).drop(key))
+    return records.join(chosen, row).drop("copy", row)

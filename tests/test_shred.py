@@ -148,3 +148,19 @@ def test_long_runs_stay_linear():
                  "<p><td>" + "<div>" * 60_000, "<p><td>" + "<i>" * 60_000 + "<div></div>" * 60_000):
         walk(html, Marks(p=Mark("p"), c=Mark(cls="k")))
     assert time.time() - start < 20
+
+
+def test_results_leave_python_in_small_batches(spark, monkeypatch):
+    """However many pages come in one batch, what is held of their nodes is bounded by about a megabyte of html."""
+    import pyarrow as pa
+
+    from webtab.operators import shred as module
+    from webtab.plans import articles
+    df = spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string")
+    taken = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: taken.append(run) or self)
+    module.shred(df, articles.ARTICLE_PAGE)
+    html = "<div class='mw-parser-output'>" + "<p>word word</p>" * 20_000 + "</div>"
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(["u"] * 12), pa.array([html] * 12)], names=["page_id", "url", "_html"])
+    out = list(taken[0](iter([batch])))
+    assert sum(b.num_rows for b in out) == 12 and max(b.num_rows for b in out) <= 4

@@ -11,9 +11,8 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from webtab.operators.progress import PROGRESS, items_of, with_progress
+from webtab.operators.progress import as_walked, items_of
 from webtab.operators.stages import Stage
 from webtab.plans.article_structure import walk_structure
 from webtab.plans.articles import walk_articles
@@ -50,9 +49,7 @@ def walk(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFr
         raise ValueError(f"{crawler} takes no {', '.join(sorted(unknown))}")
     given = {k: v for k, v in arguments.items() if v != ""}
     rows = plan(pages, **{k: int(v) if k in numbers else v for k, v in given.items()})
-    if "_progress" not in rows.columns:
-        rows = with_progress(rows, F.lit(None).cast(PROGRESS), [F.lit(0)])
-    return rows, item_type
+    return as_walked(rows), item_type
 
 
 def crawl(crawler: str, pages: DataFrame, **arguments: str | int) -> tuple[DataFrame, str]:

@@ -37,6 +37,11 @@ def with_progress(rows: DataFrame, of_page: Column, order: list[Column], item: C
     return rows.withColumns({"_progress": of_page, "_item": F.lit(True) if item is None else item, "_order": F.struct(*order)})
 
 
+def as_walked(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are if a walk made them; others are items without a page or a place."""
+    return rows if "_progress" in rows.columns else with_progress(rows, F.lit(None).cast(PROGRESS), [F.lit(0)])
+
+
 def progress_lines(rows: DataFrame) -> DataFrame:
     """One row per page."""
     return rows.filter(F.col("_progress").isNotNull()).select("_progress.*")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from webtab.operators.progress import items_of, observed, progress_lines
+from webtab.operators.progress import as_walked, items_of, observed, progress_lines
 from webtab.operators.stages import (Stage, apply_stages, clean, flatten, item_counts, rejected_items, run_statistics,
                                      valid_items)
 from webtab.session import cut
@@ -99,7 +99,7 @@ def run_crawl(rows: DataFrame, item_type: str, crawler: str, folder: str,
               on_end: Callable[[str, RunOutput], None] | None = None) -> RunOutput:
     """Run the stages over the items of a walk, then write both files, the rejects, the summary, the progress and the export.
 
-    ``rows`` are items with the columns of ``progress.with_progress``. The walk is written once, and its totals are
+    ``rows`` are items with the columns of ``progress.with_progress``, or without. The walk is written once, and its totals are
     counted on the way; the progress lines are read from what was written.
 
     ``stages`` maps priorities to transforms and runs in their order (by default
@@ -110,7 +110,7 @@ def run_crawl(rows: DataFrame, item_type: str, crawler: str, folder: str,
     started = started or datetime.now()
     if on_start:
         on_start(crawler)
-    counted, totals = observed(rows, f"crawl-{crawler}")
+    counted, totals = observed(as_walked(rows), f"crawl-{crawler}")
     walked = cut(counted, "walked")
     cleaned = cut(apply_stages(items_of(walked, ordered=True), {100: clean} if stages is None else stages), "items")
     valid = valid_items(cleaned, item_type)

@@ -122,6 +122,32 @@ def test_a_deep_walk_reads_the_pages_twice(spark):
     assert len(reads) == 2 and nodes.count() == records.count() == 13
 
 
+def test_a_small_walk_parses_only_the_pages_of_its_levels(spark):
+    pages = spark.range(60).selectExpr("id AS page_id", "concat('http://a.example/', id) AS url", "'' AS html")
+    parsed = []
+
+    def extract(p):
+        parsed.append(p.count())
+        dst = F.concat(F.lit("http://a.example/"), F.col("page_id") + 1)
+        return p.select("url", "page_id", F.lit(0).alias("copy"), F.array(F.struct(dst.alias("dst"), dst.alias("probe"))).alias("links"))
+    nodes, _, records = graph.bfs_pages(pages, extract, lambda r: r, seed_urls(spark, ["http://a.example/57"]), 1, 3)
+    # a level each, the third is the last page, and the records
+    assert parsed == [1, 1, 1, 0, 3] and nodes.count() == records.count() == 3
+
+
+def test_levels_by_name_and_from_all_pages_make_one_walk(spark, monkeypatch):
+    """Links to copies, to pages without links of their own and to none, with the change to all pages at each level."""
+    rows = [(c * 100 + k, f"u{k}", c, None if k % 7 == 6 else [(f"u{(k * 5 + j + c) % 50}", f"u{(k * 5 + j + c) % 50}") for j in range(4)])
+            for c in (0, 1) for k in range(40)]
+    pages = cut(spark.createDataFrame(rows, "page_id long, url string, copy int, links array<struct<dst: string, probe: string>>"), "test-pages")
+    walks = []
+    for most in (0, 1, 3, 200):
+        monkeypatch.setattr(graph, "PRUNED", most)
+        walks.append([sorted(map(str, df.collect())) for df in graph.bfs_pages(
+            pages, lambda p: p, lambda r: r, seed_urls(spark, ["u3"]), 3, 3, last_offers=True)])
+    assert len(walks[0][0]) > 20 and len(walks[0][1]) > 30 and all(w == walks[0] for w in walks)
+
+
 def test_counts_ship_names_not_items(spark):
     from webtab.operators.stages import item_counts
     items = spark.read.parquet(scratch(spark))

@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HOT_LINKS = 100_000     # a page with more links is divided into pieces of about so many
 PRUNED = 200            # levels of at most so many pages name them, so that only their parts of the links are read
+NAMED_LEVELS = 4        # a walk of at most so many levels parses small levels by name, before it parses all pages
 FILTERED = 100_000      # from so many visited pages on a filter stands before the join with them
 GROUPED = 65_536        # pages of a chain that are followed in one group
 
@@ -116,25 +117,42 @@ def bfs_pages(pages: DataFrame, extract: Callable[[DataFrame], DataFrame],
     ``(dst, probe)`` of each page, null for pages that only count as visited. All
     pages are parsed once to this narrow table, written divided by ``url``; the walk runs on
     it, and one last scan fetches the records of the visited pages. So the page
-    table is read twice, whatever the depth, the fan-out and the size.
+    table is read twice, whatever the depth, the fan-out and the size. A walk of at most
+    ``NAMED_LEVELS`` levels puts that off: while a level offers at most ``PRUNED`` addresses,
+    a scan filtered by them finds its pages, and only those are parsed.
 
     Returns ``nodes``, ``offers`` and the records of the visited pages. Of several
     copies of a page only the links of the first one count.
     """
-    parsed = links_of(extract(pages)).select("url", "page_id", "copy", "links")
-    # one row a page and partition goes into the shuffle
-    first = parsed.groupBy("url").agg(F.min_by("links", F.struct("page_id", "copy")).alias("links"))
+    def parsed(some: DataFrame) -> DataFrame:
+        rows = links_of(extract(some)).select("url", "page_id", "copy", "links")
+        # one row a page and partition goes into the shuffle
+        return rows.groupBy("url").agg(F.min_by("links", F.struct("page_id", "copy")).alias("links"))
+
     table = Divided(pages.sparkSession, "page-links", "url")
-    table.append(first)
+    named: DataFrame | None = None      # the pages of the level, as long as levels are small
+    whole = max_depth >= NAMED_LEVELS
+    if whole:
+        table.append(parsed(pages))
+
+    def existing(found: DataFrame) -> DataFrame:
+        nonlocal named, whole
+        if not whole:
+            names = [r["url"] for r in found.select("url").limit(PRUNED + 1).collect()]
+            if len(names) <= PRUNED:
+                named = cut(parsed(pages.filter(F.col("url").isin(names))), "level-links")
+                return _existing(found, named)
+            whole = True
+            table.append(parsed(pages))
+        return _existing(found, table.read())
 
     def visit(level: DataFrame, names: list[str] | None) -> DataFrame:
-        return (level.select("url", "seed_no", "path").join(table.read(names), "url")
+        return (level.select("url", "seed_no", "path").join(table.read(names) if whole else named, "url")
                 .select("url", "seed_no", "path", F.posexplode("links").alias("pos", "to"))
                 .select("url", "seed_no", "path", "to.dst", "pos", "to.probe"))
 
     try:
-        nodes, offers = _levels(seeds, visit, lambda found: _existing(found, table.read()), "int", True, max_links, max_depth,
-                                last_offers)
+        nodes, offers = _levels(seeds, visit, existing, "int", True, max_links, max_depth, last_offers)
     finally:
         table.forget()
     visited = cut(nodes.select("url"), "visited")

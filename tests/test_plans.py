@@ -148,6 +148,16 @@ def test_levels_by_name_and_from_all_pages_make_one_walk(spark, monkeypatch):
     assert len(walks[0][0]) > 20 and len(walks[0][1]) > 30 and all(w == walks[0] for w in walks)
 
 
+def test_links_of_pages_that_arrive_move_once(spark):
+    from webtab.queries import _link_pages
+    folder = scratch_path(spark, "tables")
+    lines = [(s, p) for s, p in ((1, 10), (1, 9), (1, 10), (2, 9))]
+    spark.createDataFrame(lines, "l_suppkey long, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    pages = _link_pages(spark, folder)
+    assert text(pages).count("Exchange hashpartitioning") == 1
+    assert {r.url: r.links for r in pages.collect()} == {"s1": ["p10", "p9"], "s2": ["p9"], "p9": ["s1", "s2"], "p10": ["s1"]}
+
+
 def test_counts_ship_names_not_items(spark):
     from webtab.operators.stages import item_counts
     items = spark.read.parquet(scratch(spark))

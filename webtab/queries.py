@@ -409,11 +409,15 @@ def q_stream_visits(spark, d):
                                           F.unix_micros("last_seen").alias("last_us"), "n")
 
 
+def _link_pages(spark, d):
+    """The distinct targets of each supplier and part, in order. Repeats go while the targets are collected, so links move once."""
+    edges = render.supplier_part_links(table(spark, d, "lineitem"))
+    return edges.groupBy(F.col("src").alias("url")).agg(F.array_sort(F.collect_set("dst")).alias("links"))
+
+
 def q_stream_walk(spark, d):
     """The whole walk over supplier and part links, with the pages arriving in four files."""
-    edges = render.supplier_part_links(table(spark, d, "lineitem")).distinct()
-    pages = edges.groupBy(F.col("src").alias("url")).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "dst"))), lambda x: x["dst"]).alias("links"))
+    pages = _link_pages(spark, d)
     folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "stream-walk")
     pages.repartition(4, "url").write.parquet(folder)
     arriving = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(folder)
